@@ -138,23 +138,31 @@ def all_ads_null_campaign(latest: DataFrame) -> DataFrame:
     return _ad_select(regrouped).distinct()
 
 
-def clicktype_impressions(latest: DataFrame, item_id: str) -> tuple[DataFrame, DataFrame]:
-    """O-CLICKTYPE + O-AGG-IMP: headline and phone impressions.
+def clicktype_totals(latest: DataFrame, item_id: str) -> DataFrame:
+    """O-CLICKTYPE + O-AGG-IMP: headline and phone impressions in one aggregation.
 
     Grouped by customer, campaign, ad group, item, day and load time like the
     reference; customer and load time are not join keys, so several rows per
-    join key fan out in the attach step (T5).  Both tables come from one
-    aggregation; a group exists for a click type only if it had rows of it.
+    join key fan out in the attach step (T5).  A group exists for a click type
+    only if it had rows of that type (``*_rows > 0``).
     """
     keys = ["site", "customerid", "campaignid", "adgroupid", item_id, "day", TS]
-    imp = latest.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (
+    return latest.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (
         "head_impressions", "head_rows", "phone_impressions", "phone_rows")])
+
+
+def split_clicktypes(totals: DataFrame, item_id: str) -> tuple[DataFrame, DataFrame]:
+    """The headline and phone tables, on the attach join keys."""
     join_keys = ["site", "campaignid", "adgroupid", item_id, "day"]
-    head = imp.where(F.col("head_rows") > 0).select(*join_keys, "head_impressions")
-    phone = imp.where(F.col("phone_rows") > 0).select(*join_keys, "phone_impressions")
+    head = totals.where(F.col("head_rows") > 0).select(*join_keys, "head_impressions")
+    phone = totals.where(F.col("phone_rows") > 0).select(*join_keys, "phone_impressions")
     return head, phone
 
 
+def clicktype_impressions(latest: DataFrame, item_id: str) -> tuple[DataFrame, DataFrame]:
+    return split_clicktypes(clicktype_totals(latest, item_id), item_id)
+
+
 def campaign_budget(campaign_report: DataFrame) -> DataFrame:
     """O-BUDGET: budget rows at the latest load of each campaign (DISTINCT)."""
     cols = ["site", "campaignid", "campaign", "budgetid", "hasrecommendedbudget",
@@ -196,15 +204,18 @@ def campaign_names(campaigns: DataFrame) -> DataFrame:
     return with_multiplicity(dim, ["site", "campaignid", "campaign"], "__n")
 
 
-def keywords_with_campaign(latest: DataFrame, campaigns: DataFrame, display: bool) -> DataFrame:
+def keywords_with_campaign(latest: DataFrame, campaigns: DataFrame,
+                           display: bool | None) -> DataFrame:
     """O-JOIN-DIM (inner, on id, no snapshot pick) then O-DISP-EX / O-DISP-ONLY on its name.
 
     Joining the fine rows to (id, name, count) and scaling the sums by the
     count equals summing the raw rows joined to a dimension with repeated ids.
+    ``display=None`` applies no campaign filter.
     """
     names = campaign_names(campaigns)
-    cond = is_display("campaign") if display else not_display("campaign")
-    j = latest.join(names, ["site", "campaignid"], "inner").where(cond)
+    j = latest.join(names, ["site", "campaignid"], "inner")
+    if display is not None:
+        j = j.where(is_display("campaign") if display else not_display("campaign"))
     return j.select(
         "site", "account", "customerid", platform_tag("account", PLATFORM).alias("platform"),
         "campaignid", "adgroupid", "keywordid", "adgroup", "campaign", "keyword",
