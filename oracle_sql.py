@@ -132,7 +132,8 @@ def _ctes(config: list[SiteConfig], as_of: str) -> list[tuple[str, str]]:
                    timeperiod, _sdc_report_datetime
             FROM b_cols"""),
         ("b_campaigns", """
-            SELECT DISTINCT site, campaignid AS id, campaignid * 1.5 AS dailybudget FROM b_cols"""),
+            SELECT DISTINCT site, campaignid AS id, CAST(campaignid AS DOUBLE) * 1.5 AS dailybudget
+            FROM b_cols"""),
         ("c_events", """
             SELECT user_id, CAST(ts AS DATE) AS d, event_type, value,
                    CASE event_type WHEN 'click' THEN 'link_click' WHEN 'view' THEN 'post_reaction'
@@ -211,7 +212,8 @@ def _ctes(config: list[SiteConfig], as_of: str) -> list[tuple[str, str]]:
             SELECT DISTINCT site, account, customerid,
                    CASE WHEN account IS NOT NULL THEN 'AdWords' END AS platform,
                    campaignid, adgroupid, adid, adgroup, CAST(NULL AS VARCHAR) AS campaign,
-                   clicks, cost_micros, finalurl, headline1, headline2, h3,
+                   clicks, cost_micros, finalurl, headline1, headline2,
+                   h3 AS expandedtextadheadline3,
                    CASE WHEN three_part THEN {desc3} ELSE {desc2} END AS description,
                    adgroupstate, campaignstate, adstate, day, ts
             FROM (SELECT site, account, customerid, campaignid, adgroupid, adid, adgroup,
