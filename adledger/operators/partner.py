@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adledger.functions import in_rolling_window, platform_tag, to_micros, typed_null
-from adledger.operators.snapshot import latest_snapshot, latest_values, with_multiplicity
+from adledger.operators.snapshot import (latest_snapshot, latest_times, latest_values,
+                                         with_multiplicity)
 
 TS = "_sdc_report_datetime"
 SNAP_KEYS = ["site", "timeperiod"]
@@ -54,8 +55,9 @@ def _scaled(df: DataFrame, factor) -> list:
 
 
 def latest_day_rows(report: DataFrame, keys: list[str]) -> DataFrame:
-    """O-SNAP per (site, day) on pre-aggregated rows."""
-    return latest_snapshot(_fine(report, keys), SNAP_KEYS, TS)
+    """O-SNAP per (site, day) on pre-aggregated rows, maxima taken from the raw rows."""
+    return latest_snapshot(_fine(report, keys), SNAP_KEYS, TS,
+                           times=latest_times(report, SNAP_KEYS, TS))
 
 
 def ads_with_budget(ads: DataFrame, campaigns: DataFrame) -> DataFrame:

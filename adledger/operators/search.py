@@ -99,7 +99,12 @@ def keyword_fine(report: DataFrame) -> DataFrame:
 
 
 def latest_rows(fine: DataFrame) -> DataFrame:
-    """O-SNAP on (site, ad group *name*, day) applied to the fine rows."""
+    """O-SNAP on (site, ad group *name*, day) applied to the fine rows.
+
+    Every raw row sits in a fine row with the same key and load time, so the
+    maxima over the fine rows equal the maxima over the raw rows and the rows
+    kept are exactly the fine rows of the raw rows the reference keeps.
+    """
     return latest_snapshot(fine, SNAP_KEYS, TS)
 
 

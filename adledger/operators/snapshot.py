@@ -32,9 +32,16 @@ def latest_times(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
               .agg(F.max(ts).alias(ts)))
 
 
-def latest_snapshot(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Rows of ``df`` at the latest ``ts`` of their key (ties kept, null keys dropped)."""
-    return df.join(latest_times(df, keys, ts), on=keys + [ts], how="inner")
+def latest_snapshot(df: DataFrame, keys: list[str], ts: str,
+                    times: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` at the latest ``ts`` of their key (ties kept, null keys dropped).
+
+    ``times`` may give the per-key maxima computed elsewhere, e.g. from the raw
+    report when ``df`` is a pre-aggregate of it (same maxima, and the
+    pre-aggregate then has a single consumer).
+    """
+    times = latest_times(df, keys, ts) if times is None else times
+    return df.join(times, on=keys + [ts], how="inner")
 
 
 def latest_snapshot_window(df: DataFrame, keys: list[str], ts: str) -> DataFrame:

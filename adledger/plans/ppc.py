@@ -15,25 +15,40 @@ from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig
 from adledger.operators import partner, rollup, search
+from adledger.session import stage_table
 from adledger.sources.reports import for_network
 
 
 @dataclass
-class SearchAds:
-    """Shared intermediate results of the search ad report (one scan feeds all)."""
+class SearchStage:
+    """Shared intermediate results of one search network report.
+
+    ``fine`` (one pass over the report, combined map-side) is read by the
+    snapshot maxima, the clicks/cost rows and the click-type impressions, each
+    needing other columns.  Left lazy, column pruning would give every consumer
+    its own variant of the aggregate and the report would be scanned and
+    shuffled once per consumer, so it is written once as a staging table in the
+    shared checkpoint folder (``session.stage_table``) and all consumers read
+    that.
+    """
+    fine: DataFrame
     latest: DataFrame
     head: DataFrame
     phone: DataFrame
     budget: DataFrame
 
 
+SearchAds = SearchKeywords = SearchStage
+
+
 def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
-                     config: list[SiteConfig]) -> SearchAds:
+                     config: list[SiteConfig]) -> SearchStage:
     ads = for_network(google_ads, config, "google")
-    latest = search.latest_rows(search.ad_fine(ads, config))
+    fine = stage_table(search.ad_fine(ads, config), "search-ad-fine")
+    latest = search.latest_rows(fine)
     head, phone = search.clicktype_impressions(latest, "adid")
     budget = search.campaign_budget(for_network(campaign_report, config, "google"))
-    return SearchAds(latest, head, phone, budget)
+    return SearchStage(fine, latest, head, phone, budget)
 
 
 def google_creative_rows(stage: SearchAds, display: bool = False) -> DataFrame:
@@ -66,21 +81,14 @@ def display_creatives(google_ads: DataFrame, campaign_report: DataFrame,
     return rollup.daily_creatives(google_creative_rows(stage, display=True))
 
 
-@dataclass
-class SearchKeywords:
-    latest: DataFrame
-    head: DataFrame
-    phone: DataFrame
-    budget: DataFrame
-
-
 def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame,
-                          config: list[SiteConfig]) -> SearchKeywords:
+                          config: list[SiteConfig]) -> SearchStage:
     kws = for_network(google_keywords, config, "google")
-    latest = search.latest_rows(search.keyword_fine(kws))
+    fine = stage_table(search.keyword_fine(kws), "search-keyword-fine")
+    latest = search.latest_rows(fine)
     head, phone = search.clicktype_impressions(latest, "keywordid")
     budget = search.campaign_budget(for_network(campaign_report, config, "google"))
-    return SearchKeywords(latest, head, phone, budget)
+    return SearchStage(fine, latest, head, phone, budget)
 
 
 def google_keyword_rows(stage: SearchKeywords, campaigns: DataFrame, config: list[SiteConfig],
