@@ -133,9 +133,15 @@ def search_ads(latest: DataFrame) -> DataFrame:
     return _ad_select(latest.where(F.col("search_rows"))).distinct()
 
 
-def all_ads_null_campaign(latest: DataFrame) -> DataFrame:
-    """Display-dataset variant: no campaign filter (T9), campaign a typed null."""
+def all_ads_null_campaign(latest: DataFrame, only_display: bool = False) -> DataFrame:
+    """Display-dataset variant: campaign a typed null.
+
+    By default there is no campaign filter, as in the reference, whose filter
+    is commented out (T9); ``only_display=True`` keeps display campaigns only.
+    """
     keys = [k for k in AD_FINE_KEYS if k != "campaign"]
+    if only_display:
+        latest = latest.where(is_display("campaign"))
     regrouped = (latest.groupBy(*keys)
                        .agg(F.sum("clicks").alias("clicks"),
                             F.sum("cost_micros").alias("cost_micros"))

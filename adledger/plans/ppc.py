@@ -51,9 +51,11 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
     return SearchStage(fine, latest, head, phone, budget)
 
 
-def google_creative_rows(stage: SearchAds, display: bool = False) -> DataFrame:
+def google_creative_rows(stage: SearchAds, display: bool = False,
+                         only_display: bool = False) -> DataFrame:
     """Search network half of P1 (``display=False``) or of P2 (``display=True``)."""
-    items = search.all_ads_null_campaign(stage.latest) if display else search.search_ads(stage.latest)
+    items = (search.all_ads_null_campaign(stage.latest, only_display) if display
+             else search.search_ads(stage.latest))
     final = search.attach_impressions_and_budget(items, stage.head, stage.phone, stage.budget, "adid")
     return search.normalize_ads(final)
 
@@ -75,10 +77,17 @@ def ppc_creatives(google_ads: DataFrame, campaign_report: DataFrame, bing_ads: D
 
 
 def display_creatives(google_ads: DataFrame, campaign_report: DataFrame,
-                      config: list[SiteConfig], stage: SearchAds | None = None) -> DataFrame:
-    """The 'display' creatives dataset (no campaign filter, campaign null, T8/T9)."""
+                      config: list[SiteConfig], stage: SearchAds | None = None,
+                      only_display: bool = False) -> DataFrame:
+    """The 'display' creatives dataset (campaign null, T8).
+
+    Parity default: no campaign filter, so it holds every search campaign and
+    the all-creatives view counts non-display ads twice (T9).
+    ``only_display=True`` applies the display filter the name promises.
+    """
     stage = stage or search_ads_stage(google_ads, campaign_report, config)
-    return rollup.daily_creatives(google_creative_rows(stage, display=True))
+    return rollup.daily_creatives(google_creative_rows(stage, display=True,
+                                                       only_display=only_display))
 
 
 def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame,
