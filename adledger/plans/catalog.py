@@ -25,7 +25,7 @@ from adledger.plans import social as social_plan
 from adledger.session import apply_defaults, scratch_path
 from adledger.sources import sinks
 from adledger.sources.reports import for_network
-from adledger.sources.testdata import Reports, test_reports
+from adledger.sources.testdata import Reports, seeded_reports
 
 CONFIG = TEST_SITES
 # Pinned "today" for the rolling window on the test tables (last order date).
@@ -35,7 +35,7 @@ TS = "_sdc_report_datetime"
 
 def _reports(spark: SparkSession, sf_dir: str) -> Reports:
     apply_defaults(spark)
-    return test_reports(spark, sf_dir)
+    return seeded_reports(spark, sf_dir)
 
 
 def _ad_stage(r: Reports) -> ppc.SearchAds:
@@ -178,7 +178,8 @@ def latest_snapshot_campaign(spark, sf_dir):
 
 
 def campaign_budget(spark, sf_dir):
-    return _ad_stage(_reports(spark, sf_dir)).budget
+    r = _reports(spark, sf_dir)
+    return search.campaign_budget(_google(r, r.google_campaign_report))
 
 
 def budget_attach(spark, sf_dir):

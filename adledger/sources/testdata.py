@@ -386,5 +386,5 @@ class Reports:
         return social_ads(self._t)
 
 
-def test_reports(spark: SparkSession, sf_dir: str) -> Reports:
+def seeded_reports(spark: SparkSession, sf_dir: str) -> Reports:
     return Reports(Tables(spark, sf_dir))
