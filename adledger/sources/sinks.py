@@ -24,14 +24,21 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Null marker of the CSV export, distinct from the empty string so that both
+# survive a round trip.
+CSV_NULL = "\\N"
+
+
 def export_csv(df: DataFrame, path: str, partition_by: str = "site") -> None:
     """Unload as header-less CSV, one sub-directory per site."""
     (df.write.mode("overwrite")
        .option("header", False)
+       .option("nullValue", CSV_NULL)
        .partitionBy(partition_by)
        .csv(path))
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read an export back with a pinned schema (the partition column comes from the path)."""
-    return spark.read.schema(schema).option("header", False).csv(path)
+    return (spark.read.schema(schema).option("header", False)
+            .option("nullValue", CSV_NULL).csv(path))
