@@ -11,10 +11,14 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money unit of the search network reports and the text
-# normaliser pattern (leading/trailing whitespace including Unicode spaces).
+# Money unit of the search network reports, the text normaliser
+# pattern (leading/trailing whitespace including Unicode spaces), the pattern
+# that marks display campaigns (matched on the lower-cased name) and the
+# length of the partner keyword window in days before "today".
 MICROS = 1_000_000
 TRIM_PATTERN = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+DISPLAY_PATTERN = "%display%"
+ROLLING_DAYS = 30
 
 
 def _c(c) -> Column:
@@ -33,7 +37,7 @@ def platform_tag(account, name: str) -> Column:
 
 def is_display(campaign) -> Column:
     """Display campaigns: name contains 'display' (any case).  Null stays null."""
-    return F.lower(_c(campaign)).like("%display%")
+    return F.lower(_c(campaign)).like(DISPLAY_PATTERN)
 
 
 def not_display(campaign) -> Column:
@@ -74,7 +78,7 @@ def to_micros(c) -> Column:
     return F.round(_c(c) * F.lit(float(MICROS))).cast("long")
 
 
-def in_rolling_window(c, as_of: dt.date | str | None, days: int = 30) -> Column:
+def in_rolling_window(c, as_of: dt.date | str | None, days: int = ROLLING_DAYS) -> Column:
     """O-ROLL30: cast(c as date) between as_of - days and as_of, both ends included."""
     end = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     return _c(c).cast("date").between(F.date_sub(end, days), end)

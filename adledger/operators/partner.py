@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adledger.functions import in_rolling_window, platform_tag, to_micros, typed_null
+from adledger.functions.scalars import ROLLING_DAYS
 from adledger.operators.snapshot import (latest_snapshot, latest_times, latest_values,
                                          with_multiplicity)
 
@@ -68,7 +69,8 @@ def ads_with_budget(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
     return j.select(*others, *_scaled(j, F.col("__n")), "budget")
 
 
-def in_window(report: DataFrame, as_of: dt.date | str | None, days: int = 30) -> DataFrame:
+def in_window(report: DataFrame, as_of: dt.date | str | None,
+              days: int = ROLLING_DAYS) -> DataFrame:
     """O-ROLL30 on the day column (applied before the snapshot pick, T4)."""
     return report.where(in_rolling_window("timeperiod", as_of, days))
 
