@@ -42,9 +42,17 @@ class Tables:
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self) -> None:
+        self._frames: dict[str, DataFrame] = {}
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = self._read(name)
+        return self._frames[name]
+
+    def _read(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
         df = self.spark.read.parquet(path)
         if name in FIXED_SIZE:
@@ -67,7 +75,9 @@ def _year(c: str) -> Column:
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Pin column order and types to the raw-report schema (one projection)."""
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
 
 
 def _campaign_name(suppkey: Column, s_name: Column) -> Column:
