@@ -89,11 +89,17 @@ def keywords_with_budget(keywords: DataFrame, campaigns: DataFrame,
     return j.select(*others, *_scaled(j, F.col("__n")), "budget")
 
 
-def attach_match_type(kw: DataFrame, match_types: DataFrame) -> DataFrame:
-    """O-JOIN-MT: left join on keyword id only (T13, T14); fan-out kept as a multiplicity."""
-    mt = with_multiplicity(match_types.select("site", "keywordid", "bidmatchtype"),
-                           ["site", "keywordid", "bidmatchtype"], "__m")
-    j = kw.join(mt, ["site", "keywordid"], "left")
+def attach_match_type(kw: DataFrame, match_types: DataFrame,
+                      match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
+    """O-JOIN-MT: left join on keyword id only (T13, T14); fan-out kept as a multiplicity.
+
+    ``match_keys=("campaignid", "adgroupid", "keywordid")`` is the named
+    correction (off by default): join on the keys the match type was computed on.
+    """
+    keys = ["site", *match_keys]
+    mt = with_multiplicity(match_types.select(*keys, "bidmatchtype"),
+                           [*keys, "bidmatchtype"], "__m")
+    j = kw.join(mt, keys, "left")
     factor = F.coalesce(F.col("__m"), F.lit(1))
     others = [c for c in kw.columns if c not in ("impressions", "clicks", "cost_micros")]
     return j.select(*others, "bidmatchtype", *_scaled(j, factor))

@@ -23,7 +23,10 @@ from adledger.functions import (ad_description, is_display, micros_to_units, not
 from adledger.operators.snapshot import latest_snapshot, with_multiplicity
 
 TS = "_sdc_report_datetime"
+# Parity: the latest load is picked per ad-group *name* and day.
 SNAP_KEYS = ["site", "adgroup", "day"]
+# Named correction, off by default: pick it per ad-group id and day.
+SNAP_KEYS_BY_ID = ["site", "adgroupid", "day"]
 
 # Click types whose impressions are attributed, and the network tag.
 HEADLINE = "Headline"
@@ -98,14 +101,14 @@ def keyword_fine(report: DataFrame) -> DataFrame:
                        *_clicktype_sums()))
 
 
-def latest_rows(fine: DataFrame) -> DataFrame:
+def latest_rows(fine: DataFrame, keys: list[str] = SNAP_KEYS) -> DataFrame:
     """O-SNAP on (site, ad group *name*, day) applied to the fine rows.
 
     Every raw row sits in a fine row with the same key and load time, so the
     maxima over the fine rows equal the maxima over the raw rows and the rows
     kept are exactly the fine rows of the raw rows the reference keeps.
     """
-    return latest_snapshot(fine, SNAP_KEYS, TS)
+    return latest_snapshot(fine, keys, TS)
 
 
 def _description() -> Column:

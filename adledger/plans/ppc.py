@@ -42,10 +42,12 @@ SearchAds = SearchKeywords = SearchStage
 
 
 def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
-                     config: list[SiteConfig]) -> SearchStage:
+                     config: list[SiteConfig],
+                     snapshot_keys: list[str] = search.SNAP_KEYS) -> SearchStage:
+    """Shared stage of P1/P2.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     ads = for_network(google_ads, config, "google")
     fine = stage_table(search.ad_fine(ads, config), "search-ad-fine")
-    latest = search.latest_rows(fine)
+    latest = search.latest_rows(fine, snapshot_keys)
     head, phone = search.clicktype_impressions(latest, "adid")
     budget = search.campaign_budget(for_network(campaign_report, config, "google"))
     return SearchStage(fine, latest, head, phone, budget)
@@ -91,10 +93,12 @@ def display_creatives(google_ads: DataFrame, campaign_report: DataFrame,
 
 
 def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame,
-                          config: list[SiteConfig]) -> SearchStage:
+                          config: list[SiteConfig],
+                          snapshot_keys: list[str] = search.SNAP_KEYS) -> SearchStage:
+    """Shared stage of P3/P4.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     kws = for_network(google_keywords, config, "google")
     fine = stage_table(search.keyword_fine(kws), "search-keyword-fine")
-    latest = search.latest_rows(fine)
+    latest = search.latest_rows(fine, snapshot_keys)
     head, phone = search.clicktype_impressions(latest, "keywordid")
     budget = search.campaign_budget(for_network(campaign_report, config, "google"))
     return SearchStage(fine, latest, head, phone, budget)
@@ -112,21 +116,26 @@ def google_keyword_rows(stage: SearchKeywords, campaigns: DataFrame, config: lis
 
 
 def bing_keyword_rows(bing_keywords: DataFrame, bing_campaigns: DataFrame,
-                      config: list[SiteConfig], as_of: dt.date | str | None) -> DataFrame:
+                      config: list[SiteConfig], as_of: dt.date | str | None,
+                      match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
     kws = for_network(bing_keywords, config, "bing")
     rows = partner.keywords_with_budget(kws, for_network(bing_campaigns, config, "bing"), as_of)
     return partner.normalize_keywords(
-        partner.attach_match_type(rows, partner.latest_match_types(kws)))
+        partner.attach_match_type(rows, partner.latest_match_types(kws), match_keys))
 
 
 def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaigns: DataFrame,
                  bing_keywords: DataFrame, bing_campaigns: DataFrame, config: list[SiteConfig],
                  as_of: dt.date | str | None = None,
-                 stage: SearchKeywords | None = None) -> DataFrame:
-    """Non-display keywords per site and day; ``as_of`` defaults to today."""
+                 stage: SearchKeywords | None = None,
+                 match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
+    """Non-display keywords per site and day; ``as_of`` defaults to today.
+
+    ``match_keys`` selects the partner match-type join keys (T13; parity default).
+    """
     stage = stage or search_keywords_stage(google_keywords, campaign_report, config)
     rows = google_keyword_rows(stage, campaigns, config).unionByName(
-        bing_keyword_rows(bing_keywords, bing_campaigns, config, as_of))
+        bing_keyword_rows(bing_keywords, bing_campaigns, config, as_of, match_keys))
     return rollup.daily_keywords(rows)
 
 

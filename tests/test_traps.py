@@ -276,3 +276,25 @@ def test_action_pivot_grains(mk, grain, cols):
     assert (out[f"post_reactions_{grain}"], out[f"link_clicks_{grain}"],
             out[f"likes_{grain}"]) == (5, 1, 2)
     assert len(out) == 1 + cols + 3
+
+
+def test_t1_correction_snapshot_by_adgroup_id(mk):
+    from adledger.operators import search
+    ads = mk.google_ads(dict(campaignid=1, adgroupid=10, _sdc_report_datetime=ts(2)),
+                        dict(campaignid=2, adgroupid=20, campaign="Search two",
+                             _sdc_report_datetime=ts(3)))
+    st = ppc.search_ads_stage(ads, mk.campaign_report(), CFG,
+                              snapshot_keys=search.SNAP_KEYS_BY_ID)
+    out = ppc.ppc_creatives(ads, mk.campaign_report(), mk.bing_ads(), mk.bing_campaigns({}),
+                            CFG, stage=st)
+    assert rows(out, "campaign_id") == [(1,), (2,)]
+
+
+def test_t13_correction_match_type_on_all_three_ids(mk):
+    bing = mk.bing_keywords(dict(campaignid=1, bidmatchtype="Exact"),
+                            dict(campaignid=2, bidmatchtype="Phrase"))
+    camps = mk.bing_campaigns(dict(id=1), dict(id=2))
+    out = ppc.ppc_keywords(mk.google_keywords(dict(site="X")), mk.campaign_report(),
+                           mk.google_campaigns(), bing, camps, CFG, AS_OF,
+                           match_keys=("campaignid", "adgroupid", "keywordid"))
+    assert rows(out, "campaign_id", "match_type", "clicks") == [(1, "Exact", 2), (2, "Phrase", 2)]
