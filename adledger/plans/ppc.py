@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig
 from adledger.operators import partner, rollup, search
-from adledger.session import stage_table
+from adledger.session import drop_staged, stage_table
 from adledger.sources.reports import for_network
 
 
@@ -37,6 +37,10 @@ class SearchStage:
     phone: DataFrame
     budget: DataFrame
 
+    def release(self) -> None:
+        """Delete the staging table (after the datasets built on it are written)."""
+        drop_staged(self.fine.sparkSession, self.fine)
+
 
 SearchAds = SearchKeywords = SearchStage
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from adledger import schemas
-from adledger.config import TEST_SITES
+from adledger.config import TEST_SITES, SiteConfig
 from adledger.plans import ppc
-from adledger.session import scratch_path
+from adledger.session import scratch_path, staged_paths
 from adledger.sources import sinks
 from adledger.sources.reports import read_report
 from adledger.sources.testdata import seeded_reports
@@ -73,3 +74,13 @@ def test_refresh_republishes_sites_with_new_loads(spark):
     q.awaitTermination(300)
     expected_all = build([c.site for c in cfg])
     assert bag(spark.read.parquet(target).select(*cols), cols) == bag(expected_all, cols)
+
+
+def test_staging_table_is_deleted_on_release(spark, mk):
+    st = ppc.search_ads_stage(mk.google_ads({}), mk.campaign_report(),
+                              [SiteConfig("S", google=True)])
+    paths = [p.removeprefix("file:") for p in staged_paths(st.fine)]
+    assert paths and all(os.path.isdir(p) for p in paths)
+    assert st.latest.count() == 1
+    st.release()
+    assert not any(os.path.exists(p) for p in paths)
