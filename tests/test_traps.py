@@ -298,3 +298,16 @@ def test_t13_correction_match_type_on_all_three_ids(mk):
                            mk.google_campaigns(), bing, camps, CFG, AS_OF,
                            match_keys=("campaignid", "adgroupid", "keywordid"))
     assert rows(out, "campaign_id", "match_type", "clicks") == [(1, "Exact", 2), (2, "Phrase", 2)]
+
+
+def test_register_views_for_sql(spark, mk):
+    ads, kws = mk.google_ads({}), mk.google_keywords({})
+    paid = creatives(mk, ads)
+    disp = ppc.display_creatives(ads, mk.campaign_report(), CFG)
+    kw = keywords(mk, kws)
+    dkw = ppc.display_keywords(kws, mk.campaign_report(), mk.google_campaigns(), CFG)
+    soc = social_daily(mk, mk.insights({}))
+    views.register_views(paid, disp, kw, dkw, soc)
+    got = spark.sql("SELECT count(*) AS n FROM view_all_ppc_creatives").first().n
+    assert got == 2
+    assert spark.sql("SELECT sum(clicks) AS c FROM view_social").first().c == 2
