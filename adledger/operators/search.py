@@ -117,12 +117,6 @@ def _description() -> Column:
     return F.when(F.col("three_part"), three).otherwise(two).alias("description")
 
 
-AD_COLUMNS = ["site", "account", "customerid", "platform", "campaignid", "adgroupid", "adid",
-              "adgroup", "campaign", "clicks", "cost_micros", "finalurl", "headline1",
-              "headline2", "expandedtextadheadline3", "description", "adgroupstate",
-              "campaignstate", "adstate", "day", TS]
-
-
 def _ad_select(df: DataFrame) -> DataFrame:
     return df.select(
         "site", "account", "customerid", platform_tag("account", PLATFORM).alias("platform"),

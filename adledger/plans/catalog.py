@@ -38,31 +38,31 @@ def _reports(spark: SparkSession, sf_dir: str) -> Reports:
     return seeded_reports(spark, sf_dir)
 
 
-def _ad_stage(r: Reports) -> ppc.SearchAds:
+def _ad_stage(r: Reports) -> ppc.SearchStage:
     return ppc.search_ads_stage(r.google_ads, r.google_campaign_report, CONFIG)
 
 
-def _kw_stage(r: Reports) -> ppc.SearchKeywords:
+def _kw_stage(r: Reports) -> ppc.SearchStage:
     return ppc.search_keywords_stage(r.google_keywords, r.google_campaign_report, CONFIG)
 
 
-def _google(r: Reports, df: DataFrame) -> DataFrame:
+def _google(df: DataFrame) -> DataFrame:
     return for_network(df, CONFIG, "google")
 
 
-def _bing(r: Reports, df: DataFrame) -> DataFrame:
+def _bing(df: DataFrame) -> DataFrame:
     return for_network(df, CONFIG, "bing")
 
 
 # ---------------------------------------------------------------- adapter A
 def scan_ad_report(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return _google(r, r.google_ads)
+    return _google(r.google_ads)
 
 
 def site_network_filter(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return _bing(r, r.bing_ads).select("site", "campaignid", "adgroupid", "adid", "timeperiod",
+    return _bing(r.bing_ads).select("site", "campaignid", "adgroupid", "adid", "timeperiod",
                                        TS, "impressions", "clicks")
 
 
@@ -90,7 +90,7 @@ def display_exclude(spark, sf_dir):
 
 def display_only(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    kw = search.keywords_with_campaign(_kw_stage(r).latest, _google(r, r.google_campaigns), True)
+    kw = search.keywords_with_campaign(_kw_stage(r).latest, _google(r.google_campaigns), True)
     return kw.select("site", "campaignid", "campaign").distinct()
 
 
@@ -108,7 +108,7 @@ def clicktype_impressions(spark, sf_dir):
 
 def latest_snapshot_adgroup_day(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    latest = latest_snapshot(_google(r, r.google_ads), search.SNAP_KEYS, TS)
+    latest = latest_snapshot(_google(r.google_ads), search.SNAP_KEYS, TS)
     return latest.select("site", "adgroup", "day", TS, "campaignid", "adgroupid", "adid",
                          "clicktype", "clicks", "impressions", "cost")
 
@@ -119,7 +119,7 @@ def ad_clicks_cost(spark, sf_dir):
 
 def keyword_clicks_cost_cpc(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return search.keywords_with_campaign(_kw_stage(r).latest, _google(r, r.google_campaigns), False)
+    return search.keywords_with_campaign(_kw_stage(r).latest, _google(r.google_campaigns), False)
 
 
 def impressions_attach(spark, sf_dir):
@@ -130,7 +130,7 @@ def impressions_attach(spark, sf_dir):
 
 def ad_description_q(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    p = search.prepare_ads(_google(r, r.google_ads), CONFIG)
+    p = search.prepare_ads(_google(r.google_ads), CONFIG)
     desc = F.when(F.col("three_part"),
                   ad_description("description", "desc_part2", "desc_part3")) \
             .otherwise(ad_description("description", "desc_part2"))
@@ -142,7 +142,7 @@ def ad_description_q(spark, sf_dir):
 
 def micros_to_units_q(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return (_google(r, r.google_ads).groupBy("site", "campaignid")
+    return (_google(r.google_ads).groupBy("site", "campaignid")
             .agg(F.sum("cost").alias("cost_micros"))
             .withColumn("cost", micros_to_units("cost_micros")))
 
@@ -173,13 +173,13 @@ def ppc_google_creatives_daily(spark, sf_dir):
 # ----------------------------------------------------------- adapter A-camp
 def latest_snapshot_campaign(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    latest = latest_snapshot(_google(r, r.google_campaign_report), ["site", "campaignid"], TS)
+    latest = latest_snapshot(_google(r.google_campaign_report), ["site", "campaignid"], TS)
     return latest.select("site", "campaignid", "campaign", "budget", TS)
 
 
 def campaign_budget(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return search.campaign_budget(_google(r, r.google_campaign_report))
+    return search.campaign_budget(_google(r.google_campaign_report))
 
 
 def budget_attach(spark, sf_dir):
@@ -193,7 +193,7 @@ def budget_attach(spark, sf_dir):
 
 def campaign_dimension_join(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    kw = search.keywords_with_campaign(_kw_stage(r).latest, _google(r, r.google_campaigns), None)
+    kw = search.keywords_with_campaign(_kw_stage(r).latest, _google(r.google_campaigns), None)
     return (kw.groupBy("site", "campaignid", "campaign", "keywordid", "day")
               .agg(F.sum("clicks").alias("clicks"), F.sum("cost_micros").alias("cost_micros"),
                    F.max("maxcpc_micros").alias("maxcpc_micros")))
@@ -220,33 +220,33 @@ def normalize_bing_keywords(spark, sf_dir):
 
 def rolling_31_days(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return partner.in_window(_bing(r, r.bing_keywords), AS_OF).select(
+    return partner.in_window(_bing(r.bing_keywords), AS_OF).select(
         "site", "campaignid", "adgroupid", "keywordid", "timeperiod", TS, "bidmatchtype")
 
 
 def latest_snapshot_day(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    latest = latest_snapshot(_bing(r, r.bing_ads), partner.SNAP_KEYS, TS)
+    latest = latest_snapshot(_bing(r.bing_ads), partner.SNAP_KEYS, TS)
     return latest.select("site", "timeperiod", TS, "campaignid", "adid", "impressions", "clicks")
 
 
 def bing_daily_budget(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    rows = partner.ads_with_budget(_bing(r, r.bing_ads), _bing(r, r.bing_campaigns))
+    rows = partner.ads_with_budget(_bing(r.bing_ads), _bing(r.bing_campaigns))
     return (rows.groupBy("site", "campaignid", "timeperiod", "budget")
                 .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")]))
 
 
 def latest_match_type(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return partner.latest_match_types(_bing(r, r.bing_keywords))
+    return partner.latest_match_types(_bing(r.bing_keywords))
 
 
 def match_type_attach(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    kws = _bing(r, r.bing_keywords)
+    kws = _bing(r.bing_keywords)
     rows = partner.attach_match_type(
-        partner.keywords_with_budget(kws, _bing(r, r.bing_campaigns), AS_OF),
+        partner.keywords_with_budget(kws, _bing(r.bing_campaigns), AS_OF),
         partner.latest_match_types(kws))
     return (rows.withColumnRenamed("bidmatchtype", "match_type")
                 .groupBy("site", "keywordid", "timeperiod", "match_type")

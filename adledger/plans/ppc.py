@@ -42,9 +42,6 @@ class SearchStage:
         drop_staged(self.fine.sparkSession, self.fine)
 
 
-SearchAds = SearchKeywords = SearchStage
-
-
 def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
                      config: list[SiteConfig],
                      snapshot_keys: list[str] = search.SNAP_KEYS) -> SearchStage:
@@ -57,7 +54,7 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
     return SearchStage(fine, latest, head, phone, budget)
 
 
-def google_creative_rows(stage: SearchAds, display: bool = False,
+def google_creative_rows(stage: SearchStage, display: bool = False,
                          only_display: bool = False) -> DataFrame:
     """Search network half of P1 (``display=False``) or of P2 (``display=True``)."""
     items = (search.all_ads_null_campaign(stage.latest, only_display) if display
@@ -74,7 +71,7 @@ def bing_creative_rows(bing_ads: DataFrame, bing_campaigns: DataFrame,
 
 def ppc_creatives(google_ads: DataFrame, campaign_report: DataFrame, bing_ads: DataFrame,
                   bing_campaigns: DataFrame, config: list[SiteConfig],
-                  stage: SearchAds | None = None) -> DataFrame:
+                  stage: SearchStage | None = None) -> DataFrame:
     """Non-display creatives per site and day, search + search partner (O-UNION-NET)."""
     stage = stage or search_ads_stage(google_ads, campaign_report, config)
     rows = google_creative_rows(stage).unionByName(
@@ -83,7 +80,7 @@ def ppc_creatives(google_ads: DataFrame, campaign_report: DataFrame, bing_ads: D
 
 
 def display_creatives(google_ads: DataFrame, campaign_report: DataFrame,
-                      config: list[SiteConfig], stage: SearchAds | None = None,
+                      config: list[SiteConfig], stage: SearchStage | None = None,
                       only_display: bool = False) -> DataFrame:
     """The 'display' creatives dataset (campaign null, T8).
 
@@ -108,7 +105,7 @@ def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame
     return SearchStage(fine, latest, head, phone, budget)
 
 
-def google_keyword_rows(stage: SearchKeywords, campaigns: DataFrame, config: list[SiteConfig],
+def google_keyword_rows(stage: SearchStage, campaigns: DataFrame, config: list[SiteConfig],
                         display: bool = False) -> DataFrame:
     items = (search.keywords_with_campaign(stage.latest, for_network(campaigns, config, "google"),
                                            display)
@@ -131,7 +128,7 @@ def bing_keyword_rows(bing_keywords: DataFrame, bing_campaigns: DataFrame,
 def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaigns: DataFrame,
                  bing_keywords: DataFrame, bing_campaigns: DataFrame, config: list[SiteConfig],
                  as_of: dt.date | str | None = None,
-                 stage: SearchKeywords | None = None,
+                 stage: SearchStage | None = None,
                  match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
     """Non-display keywords per site and day; ``as_of`` defaults to today.
 
@@ -145,7 +142,7 @@ def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaig
 
 def display_keywords(google_keywords: DataFrame, campaign_report: DataFrame,
                      campaigns: DataFrame, config: list[SiteConfig],
-                     stage: SearchKeywords | None = None) -> DataFrame:
+                     stage: SearchStage | None = None) -> DataFrame:
     """Display-campaign keywords (search network only)."""
     stage = stage or search_keywords_stage(google_keywords, campaign_report, config)
     return rollup.daily_keywords(google_keyword_rows(stage, campaigns, config, display=True))

@@ -13,7 +13,7 @@ from adledger.config import SiteConfig
 from adledger.operators.snapshot import latest_snapshot, latest_snapshot_window
 from adledger.plans import ppc, social, views
 from adledger.session import scratch_path
-from conftest import actions, frame, ts
+from conftest import actions, ts
 
 CFG = [SiteConfig("S", google=True, bing=True, facebook=True,
                   social_account_id="42", account_name="s.example")]
