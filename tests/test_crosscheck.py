@@ -103,3 +103,12 @@ def test_matches_the_sql_oracle(spark, name):
 
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_views_are_the_identity_on_their_datasets(spark):
+    from adledger import schemas
+    from adledger.plans import views
+    r = seeded_reports(spark, SF)
+    ds = ppc.ppc_creatives(r.google_ads, r.google_campaign_report, r.bing_ads,
+                           r.bing_campaigns, TEST_SITES)
+    assert bag(views.view_ppc_creatives(ds)) == bag(ds.select(*schemas.CREATIVE_COLUMNS))
