@@ -8,6 +8,11 @@ sites that received rows are recomputed in full from the whole raw tables
 published with dynamic partition overwrite, so other sites' partitions stay
 untouched.  Run with ``trigger(availableNow=True)`` after each delivery, or
 with a processing-time trigger as a long-running job.
+
+Failures: the batch function overwrites whole site partitions, so it is
+idempotent; a micro-batch retried after a lost executor or a restarted driver
+(the checkpoint replays the uncommitted batch) publishes the same rows.  The
+dynamic-overwrite commit moves partitions into place only at job commit.
 """
 
 from __future__ import annotations
