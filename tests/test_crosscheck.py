@@ -112,3 +112,14 @@ def test_views_are_the_identity_on_their_datasets(spark):
     ds = ppc.ppc_creatives(r.google_ads, r.google_campaign_report, r.bing_ads,
                            r.bing_campaigns, TEST_SITES)
     assert bag(views.view_ppc_creatives(ds)) == bag(ds.select(*schemas.CREATIVE_COLUMNS))
+
+
+def test_library_code_never_pulls_data_to_the_driver():
+    import pathlib
+    import re
+    root = pathlib.Path(__file__).resolve().parent.parent / "adledger"
+    allowed = {"streaming/refresh.py"}   # distinct sites of a micro-batch: bounded by the config
+    pattern = re.compile(r"\.(collect|toPandas|toLocalIterator|take|head)\(|localCheckpoint|udf\(")
+    offenders = [str(p.relative_to(root)) for p in root.rglob("*.py")
+                 if pattern.search(p.read_text()) and str(p.relative_to(root)) not in allowed]
+    assert offenders == []
