@@ -10,6 +10,7 @@ self-join snapshot, raw joins, sums at the end).
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -25,7 +26,10 @@ AS_OF = dt.date(2024, 1, 10)
 DAYS = [dt.datetime(2024, 1, d) for d in (1, 2, 9)] + [dt.datetime(2023, 12, 1)]
 LOADS = [dt.datetime(2024, 1, 20, h) for h in (1, 2)]
 CFG = [SiteConfig("S", bing=True), SiteConfig("T", bing=True)]
-SETTINGS = settings(max_examples=6, deadline=None,
+# A handful of fixed examples per run keeps the suite fast and reproducible;
+# set ADLEDGER_PROPERTY_EXAMPLES to search further.
+SETTINGS = settings(max_examples=int(os.environ.get("ADLEDGER_PROPERTY_EXAMPLES", "6")),
+                    derandomize="ADLEDGER_PROPERTY_EXAMPLES" not in os.environ, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 kw_rows = st.lists(st.fixed_dictionaries({
