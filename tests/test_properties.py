@@ -214,3 +214,92 @@ def test_search_keywords_equal_brute_force(spark, mk, kws, camps, report):
                   r.campaign, r.keyword_state, r.budget, r.impressions, r.clicks, r.cost,
                   r.max_cpc) for r in out.collect())
     assert got == brute_force_search_keywords(kws, camps, report)
+
+
+ga_rows = st.lists(st.fixed_dictionaries({
+    "site": st.sampled_from(["S", "T"]),
+    "campaignid": st.integers(1, 2),
+    "campaign": st.sampled_from(["Search a", "Search b", "Big DISPLAY", None]),
+    "adgroupid": st.integers(1, 2),
+    "adgroup": st.sampled_from(["g1", "g2"]),
+    "adid": st.integers(1, 2),
+    "clicktype": st.sampled_from(["Headline", "Phone calls", "Other"]),
+    "clicks": st.integers(0, 3),
+    "impressions": st.integers(0, 9),
+    "cost": st.sampled_from([0, 500_000, 1_250_000]),
+    "description": st.sampled_from(["a b", "a", " a", None]),
+    "expandedtextaddescription2": st.sampled_from(["b", "", None]),
+    "adstate": st.sampled_from(["on", "off"]),
+    "day": st.sampled_from([dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 5),
+                            dt.datetime(2024, 1, 2)]),
+    "_sdc_report_datetime": st.sampled_from(LOADS),
+}), min_size=1, max_size=12)
+
+
+def _trim2(a, b):
+    return f"{a or ''} {b or ''}".strip(" \t\n\x0b\f\r ")
+
+
+def brute_force_search_creatives(ads, report):
+    top = {}
+    for r in ads:
+        k = (r["site"], r["adgroup"], r["day"])
+        top[k] = max(top.get(k, r["_sdc_report_datetime"]), r["_sdc_report_datetime"])
+    latest = [r for r in ads if r["_sdc_report_datetime"] == top[(r["site"], r["adgroup"], r["day"])]]
+    groups = defaultdict(lambda: [0, 0])
+    for r in latest:
+        if r["campaign"] is None or "display" in r["campaign"].lower():
+            continue
+        k = (r["site"], r["campaignid"], r["adgroupid"], r["adid"], r["adgroup"], r["campaign"],
+             r["description"], r["expandedtextaddescription2"], r["adstate"], r["day"],
+             r["_sdc_report_datetime"])
+        groups[k][0] += r["clicks"]
+        groups[k][1] += r["cost"]
+    items = {(site, camp, ag, ad, agn, cname, _trim2(d1, d2), state, day, ts, c, m)
+             for (site, camp, ag, ad, agn, cname, d1, d2, state, day, ts), (c, m) in groups.items()}
+    imps = {}
+    for kind in ("Headline", "Phone calls"):
+        agg = defaultdict(int)
+        for r in latest:
+            if r["clicktype"] == kind:
+                agg[(r["site"], r["campaignid"], r["adgroupid"], r["adid"], r["day"],
+                     r["_sdc_report_datetime"])] += r["impressions"]
+        imps[kind] = agg
+    btop = {}
+    for r in report:
+        k = (r["site"], r["campaignid"])
+        btop[k] = max(btop.get(k, r["_sdc_report_datetime"]), r["_sdc_report_datetime"])
+    budgets = {(r["site"], r["campaignid"], r["budget"] / 1e6) for r in report
+               if btop[(r["site"], r["campaignid"])] == r["_sdc_report_datetime"]}
+    final = set()
+    for site, camp, ag, ad, agn, cname, desc, state, day, _ts, c, m in items:
+        def matches(kind):
+            return [v for kk, v in imps[kind].items()
+                    if kk[:5] == (site, camp, ag, ad, day)] or [None]
+        bs = [b for (s, cc, b) in budgets if (s, cc) == (site, camp)] or [None]
+        for h in matches("Headline"):
+            for p in matches("Phone calls"):
+                for b in bs:
+                    final.add((site, camp, ag, ad, agn, cname, desc, state, day, c, m,
+                               h if h is not None else p, b))
+    out = defaultdict(lambda: [0, 0, 0])
+    for site, camp, ag, ad, agn, cname, desc, state, day, c, m, imp, b in final:
+        acc = out[(site, camp, ag, ad, day.date(), agn, cname, desc, state, b)]
+        acc[0] += imp or 0
+        acc[1] += c
+        acc[2] += m
+    return sorted((k + (v[0], v[1], v[2] / 1e6) for k, v in out.items()), key=repr)
+
+
+@SETTINGS
+@given(ads=ga_rows, report=report_rows)
+def test_search_creatives_equal_brute_force(spark, mk, ads, report):
+    from conftest import CAMPAIGN_REPORT, GOOGLE_AD
+    cfg = [SiteConfig("S", google=True), SiteConfig("T", google=True)]
+    ad_df = frame(spark, schemas.GOOGLE_ADS, GOOGLE_AD, *ads)
+    rep_df = frame(spark, schemas.GOOGLE_CAMPAIGN_REPORT, CAMPAIGN_REPORT, *report)
+    out = ppc.ppc_creatives(ad_df, rep_df, mk.bing_ads(), mk.bing_campaigns(), cfg)
+    got = sorted(((r.site, r.campaign_id, r.adgroup_id, r.creative_id, r.date, r.adgroup,
+                   r.campaign, r.description, r.creative_state, r.budget, r.impressions,
+                   r.clicks, r.cost) for r in out.collect()), key=repr)
+    assert got == brute_force_search_creatives(ads, report)
