@@ -303,3 +303,112 @@ def test_search_creatives_equal_brute_force(spark, mk, ads, report):
                    r.campaign, r.description, r.creative_state, r.budget, r.impressions,
                    r.clicks, r.cost) for r in out.collect()), key=repr)
     assert got == brute_force_search_creatives(ads, report)
+
+
+action_lists = st.one_of(st.none(), st.lists(st.tuples(
+    st.sampled_from(["like", "link_click", "post_reaction", "other", None]),
+    st.sampled_from([1, 2, None])), max_size=3))
+ins_rows = st.lists(st.fixed_dictionaries({
+    "site": st.sampled_from(["S"]),
+    "campaign_id": st.integers(1, 2),
+    "adset_id": st.integers(1, 2),
+    "ad_id": st.integers(1, 2),
+    "date_start": st.sampled_from([dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 6),
+                                   dt.datetime(2024, 1, 2)]),
+    "impressions": st.integers(0, 5),
+    "clicks": st.integers(0, 2),
+    "reach": st.integers(1, 2),
+    "actions": action_lists,
+}), min_size=1, max_size=8)
+entity_rows = st.lists(st.fixed_dictionaries({
+    "id": st.integers(1, 2),
+    "effective_status": st.sampled_from(["ACTIVE", "PAUSED"]),
+    "_sdc_received_at": st.sampled_from(LOADS),
+}), min_size=0, max_size=4)
+camp_versions = st.lists(st.fixed_dictionaries({
+    "id": st.integers(1, 2),
+    "account_id": st.sampled_from(["42", "99"]),
+    "name": st.sampled_from(["Camp", "Camp renamed"]),
+    "effective_status": st.sampled_from(["ACTIVE", "PAUSED"]),
+    "_sdc_received_at": st.sampled_from(LOADS),
+}), min_size=1, max_size=4)
+
+
+def _statuses(rows):
+    top = {}
+    for r in rows:
+        top[r["id"]] = max(top.get(r["id"], r["_sdc_received_at"]), r["_sdc_received_at"])
+    out = defaultdict(set)
+    for r in rows:
+        if r["_sdc_received_at"] == top[r["id"]]:
+            out[r["id"]].add(r["effective_status"])
+    return out
+
+
+def brute_force_social(ins, camps, sets, ads):
+    names = {"42": "s.example"}
+    base = set()
+    for i in ins:
+        for c in camps:
+            for a in sets:
+                if c["id"] == i["campaign_id"] and a["id"] == i["adset_id"]:
+                    base.add((c["account_id"], c["id"], c["name"], i["adset_id"], i["ad_id"],
+                              i["date_start"], names.get(c["account_id"]), i["impressions"],
+                              i["clicks"], i["reach"]))
+    stats = defaultdict(int)
+    present = set()
+    for i in ins:
+        for t, v in (i["actions"] or []):
+            k = (t, i["ad_id"], i["adset_id"], i["campaign_id"], i["date_start"])
+            present.add(k)
+            stats[k] += v or 0
+    has_value = defaultdict(bool)
+    for i in ins:
+        for t, v in (i["actions"] or []):
+            if v is not None:
+                has_value[(t, i["ad_id"], i["adset_id"], i["campaign_id"], i["date_start"])] = True
+    pivot = defaultdict(lambda: {"post_reaction": None, "link_click": None, "like": None})
+    for k in present:
+        t, ad, st_, camp, day = k
+        row = pivot[(camp, st_, ad, day)]
+        for kind in row:
+            val = stats[k] if (t == kind and has_value[k]) else (0 if t != kind else None)
+            if val is not None:
+                row[kind] = (row[kind] or 0) + val
+    ad_st, set_st, camp_st = _statuses(ads), _statuses(sets), _statuses(camps)
+    out = defaultdict(lambda: [0, 0, None, None, None])
+    for acct, camp, cname, adset, ad, day, aname, imp, clicks, _reach in base:
+        matches = [v for (c, s, a, d), v in pivot.items()
+                   if (c, s, a) == (camp, adset, ad) and d.date() == day.date()] or [None]
+        for s_ad in ad_st.get(ad, {None}):
+            for s_set in set_st.get(adset, {None}):
+                for s_camp in camp_st.get(camp, {None}):
+                    for m in matches:
+                        acc = out[(day, aname, acct, camp, cname, adset, ad, s_camp, s_set, s_ad)]
+                        acc[0] += imp
+                        acc[1] += clicks
+                        if m is not None:
+                            for j, kind in ((2, "post_reaction"), (3, "link_click"), (4, "like")):
+                                if m[kind] is not None:
+                                    acc[j] = (acc[j] or 0) + m[kind]
+    return sorted((k + tuple(v) for k, v in out.items()), key=repr)
+
+
+@SETTINGS
+@given(ins=ins_rows, camps=camp_versions, sets=entity_rows, ads=entity_rows)
+def test_social_ads_equal_brute_force(spark, mk, ins, camps, sets, ads):
+    from conftest import INSIGHT, SOCIAL_AD, SOCIAL_ADSET, SOCIAL_CAMPAIGN
+    from adledger.plans import social
+    cfg = [SiteConfig("S", facebook=True, social_account_id="42", account_name="s.example")]
+    rows = [dict(r, actions=None if r["actions"] is None else
+                 [{"value": {"action_type": t, "value": v}} for t, v in r["actions"]])
+            for r in ins]
+    out = social.social_ads(frame(spark, schemas.SOCIAL_INSIGHTS, INSIGHT, *rows),
+                            frame(spark, schemas.SOCIAL_CAMPAIGNS, SOCIAL_CAMPAIGN, *camps),
+                            frame(spark, schemas.SOCIAL_ADSETS, SOCIAL_ADSET, *sets),
+                            frame(spark, schemas.SOCIAL_ADS, SOCIAL_AD, *ads), cfg)
+    got = sorted(((r.date, r.account_name, r.account_id, r.campaign_id, r.campaign_name,
+                   r.adgroup_id, r.ad_id, r.campaign_status, r.adgroup_status, r.ad_status,
+                   r.impressions, r.clicks, r.post_reactions_ad, r.link_clicks_ad, r.likes_ad)
+                  for r in out.collect()), key=repr)
+    assert got == brute_force_social(ins, camps, sets, ads)
