@@ -80,9 +80,9 @@ def ad_fine(report: DataFrame, config: list[SiteConfig]) -> DataFrame:
     """One pass over the ad report: partial sums at the finest key any step needs.
 
     ``search_rows`` evaluates the display exclusion inside the same aggregation
-    (the campaign is a key, so it is the row predicate's value for the group);
-    filtering on it later cannot be pushed below the aggregate, so the display
-    and non-display consumers share one scan and one shuffle.
+    (the campaign is a key, so it is the row predicate's value for the group),
+    so one materialized fine table serves the display and the non-display
+    datasets; read back from Parquet, the flag becomes a pushed-down filter.
     """
     return (prepare_ads(report, config)
             .groupBy(*AD_FINE_KEYS)
