@@ -42,15 +42,21 @@ class SearchStage:
         drop_staged(self.fine.sparkSession, self.fine)
 
 
+def search_budget(campaign_report: DataFrame, config: list[SiteConfig]) -> DataFrame:
+    """O-BUDGET for the configured search sites (shared by the ad and keyword stages)."""
+    return search.campaign_budget(for_network(campaign_report, config, "google"))
+
+
 def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
                      config: list[SiteConfig],
-                     snapshot_keys: list[str] = search.SNAP_KEYS) -> SearchStage:
+                     snapshot_keys: list[str] = search.SNAP_KEYS,
+                     budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P1/P2.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     ads = for_network(google_ads, config, "google")
     fine = stage_table(search.ad_fine(ads, config), "search-ad-fine")
     latest = search.latest_rows(fine, snapshot_keys)
     head, phone = search.clicktype_impressions(latest, "adid")
-    budget = search.campaign_budget(for_network(campaign_report, config, "google"))
+    budget = budget if budget is not None else search_budget(campaign_report, config)
     return SearchStage(fine, latest, head, phone, budget)
 
 
@@ -95,13 +101,14 @@ def display_creatives(google_ads: DataFrame, campaign_report: DataFrame,
 
 def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame,
                           config: list[SiteConfig],
-                          snapshot_keys: list[str] = search.SNAP_KEYS) -> SearchStage:
+                          snapshot_keys: list[str] = search.SNAP_KEYS,
+                          budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P3/P4.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     kws = for_network(google_keywords, config, "google")
     fine = stage_table(search.keyword_fine(kws), "search-keyword-fine")
     latest = search.latest_rows(fine, snapshot_keys)
     head, phone = search.clicktype_impressions(latest, "keywordid")
-    budget = search.campaign_budget(for_network(campaign_report, config, "google"))
+    budget = budget if budget is not None else search_budget(campaign_report, config)
     return SearchStage(fine, latest, head, phone, budget)
 
 

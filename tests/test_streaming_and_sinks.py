@@ -84,3 +84,34 @@ def test_staging_table_is_deleted_on_release(spark, mk):
     assert st.latest.count() == 1
     st.release()
     assert not any(os.path.exists(p) for p in paths)
+
+
+def test_daily_job_publishes_every_dataset(spark):
+    from adledger.plans import daily
+    from adledger.plans.catalog import QUERIES
+    r = seeded_reports(spark, SF)
+    root = scratch_path(spark, "daily")
+    paths = daily.run_daily(r, TEST_SITES, root, as_of="2001-08-01")
+    assert set(paths) == set(daily.DATASETS)
+    got = spark.read.parquet(paths["ppc_keywords"])
+    want = QUERIES["ppc_keywords_daily"](spark, SF)
+    assert bag(got.select(*want.columns), want.columns) == bag(want, want.columns)
+    assert spark.read.parquet(paths["social_ads"]).count() == \
+        QUERIES["social_ads_daily"](spark, SF).count()
+
+
+def test_read_reports_from_site_partitioned_folders(spark):
+    from adledger.sources.reports import read_reports
+    r = seeded_reports(spark, SF)
+    root = scratch_path(spark, "raw-root")
+    for name in ("google_ads", "google_keywords", "google_campaign_report", "google_campaigns",
+                 "bing_ads", "bing_keywords", "bing_campaigns", "social_insights",
+                 "social_campaigns", "social_adsets", "social_ads"):
+        getattr(r, name).write.partitionBy("site").parquet(f"{root}/{name}")
+    raw = read_reports(spark, root, sites=["ASIA", "3"])
+    got = ppc.ppc_creatives(raw.google_ads, raw.google_campaign_report, raw.bing_ads,
+                            raw.bing_campaigns, TEST_SITES)
+    want = ppc.ppc_creatives(r.google_ads, r.google_campaign_report, r.bing_ads,
+                             r.bing_campaigns, TEST_SITES).where("site = 'ASIA'")
+    assert bag(got, want.columns) == bag(want, want.columns)
+    assert {x.site for x in raw.social_insights.select("site").distinct().collect()} == {"3"}
