@@ -30,6 +30,23 @@ class SiteConfig:
     account_name: str | None = None        # name the social account id is reported as
 
 
+def load_sites(path: str) -> list[SiteConfig]:
+    """Read the site configuration from a JSON list of objects with SiteConfig fields."""
+    import json
+    from dataclasses import fields
+
+    known = {f.name for f in fields(SiteConfig)}
+    with open(path) as fh:
+        entries = json.load(fh)
+    out = []
+    for e in entries:
+        unknown = set(e) - known
+        if unknown:
+            raise ValueError(f"unknown site config fields {sorted(unknown)} in {e.get('site')!r}")
+        out.append(SiteConfig(**e))
+    return out
+
+
 def sites_with(config: list[SiteConfig], network: str) -> list[str]:
     """O-SITES: the sites that have ``network`` configured."""
     if network not in NETWORKS:

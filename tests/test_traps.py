@@ -311,3 +311,18 @@ def test_register_views_for_sql(spark, mk):
     got = spark.sql("SELECT count(*) AS n FROM view_all_ppc_creatives").first().n
     assert got == 2
     assert spark.sql("SELECT sum(clicks) AS c FROM view_social").first().c == 2
+
+
+def test_site_config_loads_from_json(tmp_path):
+    import json
+    from adledger.config import load_sites
+    p = tmp_path / "sites.json"
+    p.write_text(json.dumps([{"site": "A", "google": True, "has_headline3": False},
+                             {"site": "B", "facebook": True, "social_account_id": "7",
+                              "account_name": "b.example", "adset_like": "%x%"}]))
+    cfg = load_sites(str(p))
+    assert cfg[0] == SiteConfig("A", google=True, has_headline3=False)
+    assert cfg[1].adset_like == "%x%"
+    p.write_text(json.dumps([{"site": "C", "googel": True}]))
+    with pytest.raises(ValueError):
+        load_sites(str(p))
