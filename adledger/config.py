@@ -9,7 +9,8 @@ by the data: turning it into a DataFrame and broadcasting it is safe.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -32,9 +33,6 @@ class SiteConfig:
 
 def load_sites(path: str) -> list[SiteConfig]:
     """Read the site configuration from a JSON list of objects with SiteConfig fields."""
-    import json
-    from dataclasses import fields
-
     known = {f.name for f in fields(SiteConfig)}
     with open(path) as fh:
         entries = json.load(fh)
