@@ -42,16 +42,25 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh local folder set.
+    Where the session names none, a fresh local folder is set, but only when
+    driver and executors are one process (``local[...]``, as in tests).  On a
+    cluster a machine-local folder would leave each executor's part files on
+    its own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="adledger-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _local_folder(spark.sparkContext.master)
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _local_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on storage that the "
+                           "driver and all executors share")
+    return tempfile.mkdtemp(prefix="adledger-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
@@ -67,7 +76,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def staged_paths(df: DataFrame) -> list[str]:
