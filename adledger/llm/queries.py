@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adledger.llm import bitsliced, bpe, decontaminate, langid, licenses, linededup, pseudonyms, simhash, training_order
+from adledger.llm import bitsliced, bpe, decontaminate, langid, licenses, linededup, pitman_yor, pseudonyms, simhash, training_order
 
 
 def _read(spark, sf_dir, table):
@@ -13,6 +13,10 @@ def op1_bit_sliced_top_k(spark, sf_dir):
     return bitsliced.digest(_read(spark, sf_dir, "embeddings"))
 
 
+def op2_pitman_yor(spark, sf_dir):
+    return pitman_yor.digest(_read(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark, sf_dir):
     return langid.digest(_read(spark, sf_dir, "documents"))
 
@@ -45,4 +49,4 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bit_sliced_top_k, op3_language_id, op4_license_scan, op5_decontaminate, op6_simhash_dedup, op7_training_order, op8_line_dedup, op9_pseudonyms, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_bit_sliced_top_k, op2_pitman_yor, op3_language_id, op4_license_scan, op5_decontaminate, op6_simhash_dedup, op7_training_order, op8_line_dedup, op9_pseudonyms, op10_byte_bpe)}
