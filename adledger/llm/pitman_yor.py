@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -294,7 +295,8 @@ def _restaurants(counted: DataFrame, shared_ones, root: np.ndarray) -> DataFrame
         w, n, u = w[order], n[order], key[0].as_py()
         rng, tables, sizes = np.random.default_rng([SEED, 0, u]), int(ones[u]), []
         for dish, c in zip(w.tolist(), n.tolist(), strict=True):
-            sizes.append(seated(c, float(p0[dish]), tables, CONTEXT, rng))
+            # A few customers start at one table, as the sweeps reseat them all.
+            sizes.append(seated(c, float(p0[dish]), tables, CONTEXT, rng) if c > 8 else [c])
             tables += len(sizes[-1])
         yield _restaurant(u, tables, w, sizes, np.zeros(len(w)))
 
@@ -412,115 +414,129 @@ def _own_by_bucket(state: DataFrame, buckets: int) -> DataFrame:
     return state.select("u", "words", "own").mapInArrow(run, "bucket long, pairs binary, own binary")
 
 
-def _score_pairs(docs: DataFrame, known: DataFrame, shared, model, buckets: int, kind: str) -> DataFrame:
-    """(doc_id, h, score): parts of each document's score from its pairs of one bucket."""
+ASKED = ("bucket long, batch long, pairs binary, pair_docs binary, pair_n binary, words binary, word_docs binary, "
+         "said binary, ids array<{kind}>, own binary")
+PARTS = "batch long, ids array<{kind}>, own binary, docs binary, score binary, rare_docs binary, rare binary"
+
+
+def _asked(rows: DataFrame, shared, buckets: int, kind: str) -> DataFrame:
+    """A row for each batch of texts and bucket: the pairs, and the words that are no dishes, to be looked up there.
+
+    One of them also carries the batch's ids and what the task knows by itself: tokens, known ones, base score
+    of dishes, and the number of other words.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for part in slices(batches, "text", BATCH_BYTES):
-            b = Batch(part.column("text").to_pylist())
-            get = shared.value.dish.get
-            pair, doc, n = b.pairs(np.array([get(w, RARE) for w in b.words], np.uint64))
-            ids, h = part.column("doc_id"), part.column("h")
-            for k, at in _split(_bucket(pair, buckets), buckets):
-                used, local = np.unique(doc[at], return_inverse=True)
-                one = pa.array([0, len(used)], pa.int32())
+            b, w = Batch(part.column("text").to_pylist()), shared.value
+            dish = np.array([w.dish.get(x, -1) for x in b.words], np.int64)
+            n = len(b.sizes)
+            per_text = lambda x: np.bincount(b.doc, x[b.codes] if len(b.codes) else None, n)
+            own = np.concatenate([
+                b.sizes + 1.0, per_text((dish >= 0).astype(float)) + float(w.counts[END] > 0),
+                per_text(np.where(dish >= 0, w.base(w.counts[np.maximum(dish, 0)]), 0.0)) + w.base(w.counts[END]),
+                per_text((dish < 0).astype(float))])
+            pair, doc, times = b.pairs(np.where(dish < 0, RARE, dish).astype(np.uint64))
+            pairs = dict(_split(_bucket(pair, buckets), buckets))
+            at = np.flatnonzero(dish[b.codes] < 0) if len(b.codes) else np.zeros(0, np.int64)
+            key = np.array([zlib.crc32(x) % buckets if d < 0 else 0 for x, d in zip(b.words, dish, strict=True)], np.int64)
+            words = dict(_split(key[b.codes[at]], buckets)) if len(at) else {}
+            for k in sorted({*pairs, *words, number % buckets}):
+                row = {"bucket": k, "batch": number}
+                if k in pairs:
+                    x = pairs[k]
+                    row |= {"pairs": _packed_pairs(pair[x]), "pair_docs": _raw(doc[x], "<u4"), "pair_n": _raw(times[x], "<u4")}
+                if k in words:
+                    x = at[words[k]]
+                    said, where = np.unique(b.codes[x], return_inverse=True)
+                    row |= {"words": b"\n".join([b.words[i] for i in said.tolist()]), "word_docs": _raw(b.doc[x], "<u4"),
+                            "said": _raw(where, "<u4")}
+                if k == number % buckets:
+                    row |= {"own": _raw(own, "<f8")}
+                ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("doc_id")) if "own" in row \
+                    else pa.nulls(1, pa.list_(part.column("doc_id").type))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k]), pa.ListArray.from_arrays(one, ids.take(pa.array(used))),
-                     pa.ListArray.from_arrays(one, h.take(pa.array(used))),
-                     pa.array([_packed_pairs(pair[at])], pa.binary()),
-                     pa.array([_raw(local, "<u4")], pa.binary()), pa.array([_raw(n[at], "<u4")], pa.binary())],
-                    ["bucket", "ids", "hs", "pairs", "docs", "n"])
-
-    def score(_: tuple, given: pa.Table, asked: pa.Table) -> pa.Table:
-        pairs, own = [np.zeros(0, np.uint64)], [np.zeros(0)]
-        for r in given.to_pylist():
-            pairs.append(_pairs_of(r["pairs"]))
-            own.append(np.frombuffer(r["own"], "<f8") if r["own"] is not None
-                       else np.full(len(pairs[-1]), 1 - CONTEXT[0]))
+                    [pa.array([row["bucket"]]), pa.array([row["batch"]]),
+                     *[pa.array([row.get(c)], pa.binary()) for c in (
+                         "pairs", "pair_docs", "pair_n", "words", "word_docs", "said")],
+                     ids, pa.array([row.get("own")], pa.binary())],
+                    ["bucket", "batch", "pairs", "pair_docs", "pair_n", "words", "word_docs", "said", "ids", "own"])
+            number += 1
+
+    return rows.mapInArrow(run, ASKED.format(kind=kind))
+
+
+def _answered(known: DataFrame, asked: DataFrame, shared, model, kind: str) -> DataFrame:
+    """For each batch and bucket, the texts' sums: log probabilities of the pairs, and base scores of rare words."""
+    def answer(_: tuple, given: pa.Table, asked: pa.Table) -> pa.Table:
+        pairs, own, count = [np.zeros(0, np.uint64)], [np.zeros(0)], {}
+        if asked.num_rows:
+            for b in given.to_batches():
+                count.update((w, n) for w, n in zip(b["word"].to_pylist(), b["n"].to_pylist(), strict=True) if w is not None)
+                for p, o in zip(b["pairs"].to_pylist(), b["own"].to_pylist(), strict=True):
+                    if p is not None:
+                        pairs.append(_pairs_of(p))
+                        own.append(np.full(len(pairs[-1]), 1 - CONTEXT[0]) if o is None else np.frombuffer(o, "<f8"))
         pairs, own = np.concatenate(pairs), np.concatenate(own)
         order = np.argsort(pairs)
         pairs, own = np.append(pairs[order], np.uint64(0xFFFFFFFFFFFFFFFF)), np.append(own[order], 0.0)
-        ids, hs, scores = [], [], []
+        out: dict[str, list] = {c: [] for c in ("docs", "score", "rare_docs", "rare")}
         for i in range(asked.num_rows):
-            want = _pairs_of(asked["pairs"][i].as_py())
-            at = np.searchsorted(pairs, want)
-            mine = np.where(pairs[at] == want, own[at], 0.0)
-            u, w = (want >> np.uint64(32)).astype(np.int64), (want & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            p = np.log10(model.value.probability(u, w, mine))
-            local, n = (np.frombuffer(asked[c][i].as_py(), "<u4") for c in ("docs", "n"))
-            ids.append(asked["ids"][i].values)
-            hs.append(asked["hs"][i].values)
-            scores.append(np.bincount(local, p * n, len(ids[-1])))
-        if not ids:
-            return pa.table({"doc_id": asked["ids"].type.value_type and pa.array([], asked["ids"].type.value_type),
-                             "h": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return pa.table({"doc_id": pa.concat_arrays(ids), "h": pa.concat_arrays(hs),
-                         "score": pa.array(np.concatenate(scores))})
-
-    blocks = docs.mapInArrow(run, f"bucket long, ids array<{kind}>, hs array<long>, pairs binary, docs binary, n binary")
-    return known.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(
-        score, f"doc_id {kind}, h long, score double")
-
-
-def _score_rare(docs: DataFrame, words: DataFrame, shared, buckets: int, kind: str) -> DataFrame:
-    """(doc_id, h, base, inside, n_known): the parts of words that are no dishes, by the counts of all words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", BATCH_BYTES):
-            b = Batch(part.column("text").to_pylist())
-            dish = shared.value.dish
-            rare = np.array([w not in dish for w in b.words], bool)
-            at = np.flatnonzero(rare[b.codes]) if len(b.codes) else np.zeros(0, np.int64)
-            key = np.array([zlib.crc32(w) % buckets if r else 0 for w, r in zip(b.words, rare, strict=True)], np.int64)
-            code, doc = b.codes[at], b.doc[at]
-            for k, own in _split(key[code], buckets) if len(code) else ():
-                used, local = np.unique(doc[own], return_inverse=True)
-                said, word = np.unique(code[own], return_inverse=True)
-                one = pa.array([0, len(used)], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k]), pa.ListArray.from_arrays(one, part.column("doc_id").take(pa.array(used))),
-                     pa.ListArray.from_arrays(one, part.column("h").take(pa.array(used))),
-                     pa.array([b"\n".join([b.words[x] for x in said.tolist()])], pa.binary()),
-                     pa.array([_raw(local, "<u4")], pa.binary()), pa.array([_raw(word, "<u4")], pa.binary())],
-                    ["bucket", "ids", "hs", "words", "docs", "said"])
-
-    def score(_: tuple, given: pa.Table, asked: pa.Table) -> pa.Table:
-        count = dict(zip(given["word"].to_pylist(), given["n"].to_pylist(), strict=True)) if asked.num_rows else {}
-        cols: dict[str, list] = {c: [] for c in ("doc_id", "h", "base", "inside", "n_known")}
-        for i in range(asked.num_rows):
-            c = np.array([count.get(w, 0) for w in asked["words"][i].as_py().split(b"\n")], np.int64)
-            local, said = (np.frombuffer(asked[x][i].as_py(), "<u4") for x in ("docs", "said"))
-            cols["doc_id"].append(asked["ids"][i].values)
-            cols["h"].append(asked["hs"][i].values)
-            n = len(cols["h"][-1])
-            for name, x in (("base", shared.value.base(c)), ("inside", shared.value.inside_rare(c)),
-                            ("n_known", (c > 0).astype(float))):
-                cols[name].append(np.bincount(local, x[said], n))
-        kinds = {"doc_id": asked["ids"].type.value_type, "h": pa.int64()}
-        return pa.table({c: (pa.concat_arrays(x) if c in kinds else pa.array(np.concatenate(x))) if x
-                         else pa.array([], kinds.get(c, pa.float64())) for c, x in cols.items()})
-
-    blocks = docs.mapInArrow(run, f"bucket long, ids array<{kind}>, hs array<long>, words binary, docs binary, said binary")
-    dealt = words.select((F.crc32("word") % buckets).alias("bucket"), "word", "n")
-    return dealt.groupBy("bucket").cogroup(blocks.groupBy("bucket")).applyInArrow(
-        score, f"doc_id {kind}, h long, base double, inside double, n_known double")
-
-
-def _own_words(docs: DataFrame, shared, kind: str) -> DataFrame:
-    """(doc_id, h, n_tokens, n_known, base): of words that are dishes, which each task knows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", BATCH_BYTES):
-            b, w = Batch(part.column("text").to_pylist()), shared.value
-            dish = np.array([w.dish.get(x, -1) for x in b.words], np.int64)
-            is_dish = dish >= 0
-            value = np.where(is_dish, w.base(w.counts[np.maximum(dish, 0)]), 0.0)
-            n = len(b.sizes)
-            end = float(w.base(w.counts[END:END + 1])[0])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("h"), pa.array(b.sizes + 1),
-                 pa.array(np.bincount(b.doc, is_dish[b.codes] if len(b.codes) else None, n) + float(w.counts[END] > 0)),
-                 pa.array(np.bincount(b.doc, value[b.codes] if len(b.codes) else None, n) + end)],
-                ["doc_id", "h", "n_tokens", "n_known", "base"])
+            r = {c: asked[c][i].as_py() for c in ("pairs", "pair_docs", "pair_n", "words", "word_docs", "said")}
+            row = dict.fromkeys(out)
+            if r["pairs"] is not None:
+                want = _pairs_of(r["pairs"])
+                at = np.searchsorted(pairs, want)
+                mine = np.where(pairs[at] == want, own[at], 0.0)
+                p = np.log10(model.value.probability((want >> np.uint64(32)).astype(np.int64),
+                                                     (want & np.uint64(0xFFFFFFFF)).astype(np.int64), mine))
+                docs, local = np.unique(np.frombuffer(r["pair_docs"], "<u4"), return_inverse=True)
+                row |= {"docs": _raw(docs, "<u4"),
+                        "score": _raw(np.bincount(local, p * np.frombuffer(r["pair_n"], "<u4")), "<f8")}
+            if r["words"] is not None:
+                c = np.array([count.get(w, 0) for w in r["words"].split(b"\n")], np.int64)[np.frombuffer(r["said"], "<u4")]
+                docs, local = np.unique(np.frombuffer(r["word_docs"], "<u4"), return_inverse=True)
+                row |= {"rare_docs": _raw(docs, "<u4"),
+                        "rare": _raw(np.concatenate([np.bincount(local, shared.value.base(c)), np.bincount(local, c > 0)]),
+                                     "<f8")}
+            for c in out:
+                out[c].append(row[c])
+        return pa.table({"batch": asked["batch"], "ids": asked["ids"], "own": asked["own"],
+                         **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
+
+    return known.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(answer, PARTS.format(kind=kind))
+
+
+def _added(parts: DataFrame, shared, kind: str) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of each text: the parts of its batch, added."""
+    def add(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, score, rare = None, [], []
+        for b in batches:
+            for i in range(b.num_rows):
+                if b["own"][i].is_valid:
+                    ids, own = b["ids"][i].values, np.frombuffer(b["own"][i].as_py(), "<f8").reshape(4, -1)
+                if b["docs"][i].is_valid:
+                    score.append((np.frombuffer(b["docs"][i].as_py(), "<u4"), np.frombuffer(b["score"][i].as_py(), "<f8")))
+                if b["rare_docs"][i].is_valid:
+                    rare.append((np.frombuffer(b["rare_docs"][i].as_py(), "<u4"),
+                                 np.frombuffer(b["rare"][i].as_py(), "<f8").reshape(2, -1)))
+        n_tokens, known, base, n_rare = own.copy()
+        total = np.zeros(len(n_tokens))
+        for docs, x in score:
+            total[docs] += x
+        inside = np.zeros(len(n_tokens))
+        for docs, (x, k) in rare:
+            inside[docs] += x
+            known[docs] += k
+        # A rare word's probability among the rare ones is its base probability, but for the constant denominator.
+        w = shared.value
+        total += inside + n_rare * (w.inside_rare(np.array(0)) - w.base(np.array(0)))
+        yield pa.RecordBatch.from_arrays(
+            [ids, pa.array(n_tokens.astype(np.int64)), pa.array(np.rint(known).astype(np.int64)),
+             pa.array(base + inside), pa.array(total)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, h long, n_tokens long, n_known double, base double")
+    return parts.groupBy("batch").applyInArrow(
+        add, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
 def score(docs: DataFrame, vocabulary: int = VOCABULARY, folds: int = FOLDS) -> DataFrame:
@@ -528,33 +544,23 @@ def score(docs: DataFrame, vocabulary: int = VOCABULARY, folds: int = FOLDS) ->
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     is_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(True))
-    rows = docs.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"))
-    train = rows.filter(~is_out).select("text")
+    train = docs.filter(~is_out).select("text")
     counts = stage_table(_count_words(train), "words")
     words = _dishes(counts, vocabulary)
     shared = spark.sparkContext.broadcast(words)
     buckets = 1 + words.total // BUCKET_ENTRIES
     counted = stage_table(_count_pairs(train, shared, buckets), "pairs")
     model, state = fit(counted, words)
-    known = (counted.select("bucket", F.col("ones").alias("pairs"), F.lit(None).cast("binary").alias("own"))
-             .unionByName(_own_by_bucket(state, buckets)))
-    parts = [
-        _own_words(rows, shared, kind).withColumn("one", F.lit(1)),
-        _score_rare(rows, counts.filter(F.octet_length("word") > 0), shared, buckets, kind),
-        _score_pairs(rows, known, shared, spark.sparkContext.broadcast(model), buckets, kind)]
-    all_ = parts[0]
-    for p in parts[1:]:
-        all_ = all_.unionByName(p, allowMissingColumns=True)
-    # Equal rows (id and text) were summed together: each gets its share.
-    total = all_.groupBy("doc_id", "h").agg(*[F.sum(c).alias(c) for c in (
-        "n_tokens", "n_known", "base", "inside", "score", "one")])
-    each = lambda c: F.coalesce(F.col(c), F.lit(0.0)) / F.col("one")
-    out = total.select(
-        "doc_id", is_out.alias("held_out"), each("n_tokens").cast("long").alias("n_tokens"),
-        F.round(each("n_known")).cast("long").alias("n_known"), F.lit(words.total).cast("long").alias("train_tokens"),
-        each("base").alias("base_score"), (each("score") + each("inside")).alias("score"),
-        F.explode(F.array_repeat(F.lit(0), F.col("one").cast("int"))).alias("copy")).drop("copy")
-    return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    rare = counts.filter(F.octet_length("word") > 0).select((F.crc32("word") % buckets).alias("bucket"), "word", "n")
+    known = (counted.select("bucket", F.col("ones").alias("pairs"))
+             .unionByName(_own_by_bucket(state, buckets), allowMissingColumns=True)
+             .unionByName(rare, allowMissingColumns=True))
+    asked = _asked(docs.select("doc_id", "text"), shared, buckets, kind)
+    parts = _answered(known, asked, shared, spark.sparkContext.broadcast(model), kind)
+    out = _added(parts, shared, kind)
+    return out.select("doc_id", is_out.alias("held_out"), "n_tokens", "n_known",
+                      F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score",
+                      F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
