@@ -47,6 +47,8 @@ from adledger.session import stage_table
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 # Longest posting that is compared inside one task (its pairs: eight million).
 MAX_POSTING = 4096
+# Bound of a broadcast: 64-bit words of the bitmap over postings of three or more.
+MARKS = 1 << 18
 BATCH_BYTES = 8 << 20
 
 
@@ -108,13 +110,26 @@ def links(entries: DataFrame, max_bits: int = MAX_BITS, max_posting: int = MAX_P
                      .agg(F.count("*").alias("n"), F.max("fp").alias("u"), F.min("fp").alias("v")).filter("n > 1"))
     counted = stage_table(counted, "postings")
     pairs = counted.filter("n = 2").filter(_near(max_bits)).select("u", "v")
-    more = posted.join(counted.filter("n > 2").select("mask", "bytes", "n"), ["mask", "bytes"])
-    more = stage_table(more, "members")
+    longer = counted.filter("n > 2").select("mask", "bytes", "n")
+    more = stage_table(_marked(posted, longer).join(longer, ["mask", "bytes"]), "members")
     inside = _inside(more.filter(F.col("n") <= max_posting), max_bits)
     spread = _by_midpoints(more.filter(F.col("n") > max_posting).select("fp").distinct(), max_bits)
     return pairs.unionByName(inside).unionByName(spread).distinct()
 
 
+def _marked(posted: DataFrame, longer: DataFrame) -> DataFrame:
+    """The rows of ``posted`` whose posting is in ``longer``, and a few others.
+
+    Few postings are: a bitmap of their hashes, of ``MARKS`` 64-bit words whatever their number, is broadcast
+    so that the others aren't shuffled once more.
+    """
+    h = F.pmod(F.xxhash64("mask", "bytes"), F.lit(64 * MARKS))
+    word, bit = F.floor(h / 64).cast("long").alias("word"), (h % 64).cast("int").alias("bit")
+    marks = longer.select(word, bit).groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    return (posted.withColumns({"word": word, "bit": bit}).join(F.broadcast(marks), "word")
+                  .filter(F.expr("shiftright(bits, bit) & 1L") == 1).select("fp", "mask", "bytes"))
+
+
 def _inside(members: DataFrame, max_bits: int) -> DataFrame:
     """A spanning forest of the links of each posting (bounded in length)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
