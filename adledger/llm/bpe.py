@@ -43,10 +43,10 @@ from adledger.llm.common import slices
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
-BATCH_BYTES, CACHE = 12 << 20, 900_000
+BATCH_BYTES, CACHE = 4 << 20, 300_000
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
 # in the same order, but from a heap.  Decoded in one query: so many tokens.
-LONG_PIECE, DECODED = 256, 1 << 20
+LONG_PIECE, DECODED = 256, 1 << 18
 # A round's key: rank above, position below.
 _POSITIONS = 20
 
@@ -91,7 +91,7 @@ class Codec:
         self.bytes_of = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = [(a << 32 | b, r) for t, r in ranks.items() for i in range(1, len(t))
                  if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self._table("merges", {"pair": np.array([p for p, _ in pairs], np.int64),
                                "id": np.array([r for _, r in pairs], np.int64)})
         self._table("vocabulary", {"id": np.array(list(ranks.values()), np.int32),
@@ -138,7 +138,7 @@ class Codec:
                 continue
             part.append(p)
             held += len(b)
-            if held > 1 << 20:
+            if held > 1 << 19:
                 self._merge(part, [raw[x] for x in part])
                 part, held = [], 0
         if part:
