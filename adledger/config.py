@@ -12,8 +12,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 NETWORKS = ("google", "bing", "facebook")
 
@@ -56,14 +56,13 @@ def sites_where(config: list[SiteConfig], flag: str, value=True) -> list[str]:
     return [c.site for c in config if getattr(c, flag) == value]
 
 
-def account_names_frame(spark: SparkSession, config: list[SiteConfig]) -> DataFrame:
-    """Social account id -> reported account name, as a small DataFrame."""
-    schema = T.StructType([
-        T.StructField("account_id", T.StringType(), False),
-        T.StructField("account_name", T.StringType(), True),
-    ])
-    rows = [(c.social_account_id, c.account_name) for c in config if c.social_account_id is not None]
-    return spark.createDataFrame(rows, schema)
+def account_name(account_id: Column, config: list[SiteConfig]) -> Column:
+    """The reported name of a social account id: the first configured match, else null."""
+    out = F.lit(None).cast("string")
+    for c in reversed(config):
+        if c.social_account_id is not None:
+            out = F.when(account_id == c.social_account_id, F.lit(c.account_name)).otherwise(out)
+    return out
 
 
 def adset_patterns(config: list[SiteConfig]) -> dict[str, str]:

@@ -80,5 +80,7 @@ def to_micros(c) -> Column:
 
 def in_rolling_window(c, as_of: dt.date | str | None, days: int = ROLLING_DAYS) -> Column:
     """O-ROLL30: cast(c as date) between as_of - days and as_of, both ends included."""
-    end = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    # Today in UTC, whatever the zone of the session.
+    today = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("date")
+    end = today if as_of is None else F.lit(str(as_of)).cast("date")
     return _c(c).cast("date").between(F.date_sub(end, days), end)

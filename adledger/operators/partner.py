@@ -2,11 +2,10 @@
 
 The reference joins raw rows at the latest load of each day to the campaign
 entity (for the daily budget) and, for keywords, to the latest non-empty
-match type, and only then sums.  Sums are linear, so the raw rows are first
-combined map-side on every column the final roll-up groups by (plus the
-snapshot key and load time), the snapshot pick runs on those rows, and the
-joins carry a multiplicity that scales the sums.  Same numbers, one shuffle of
-pre-aggregated data, no fan-out of raw rows.
+match type, and only then sums.  Here the rows are picked first (maxima of a narrow
+scan joined back), then combined on every column the final roll-up groups by,
+and, as sums are linear, the joins carry a multiplicity that scales them.  Same
+numbers, one wide shuffle of the picked rows only, no fan-out of raw rows.
 """
 
 from __future__ import annotations
@@ -18,8 +17,7 @@ from pyspark.sql import functions as F
 
 from adledger.functions import in_rolling_window, platform_tag, to_micros, typed_null
 from adledger.functions.scalars import ROLLING_DAYS
-from adledger.operators.snapshot import (latest_snapshot, latest_times, latest_values,
-                                         with_multiplicity)
+from adledger.operators.snapshot import latest_snapshot, latest_values, with_multiplicity
 
 TS = "_sdc_report_datetime"
 SNAP_KEYS = ["site", "timeperiod"]
@@ -56,9 +54,8 @@ def _scaled(df: DataFrame, factor) -> list:
 
 
 def latest_day_rows(report: DataFrame, keys: list[str]) -> DataFrame:
-    """O-SNAP per (site, day) on pre-aggregated rows, maxima taken from the raw rows."""
-    return latest_snapshot(_fine(report, keys), SNAP_KEYS, TS,
-                           times=latest_times(report, SNAP_KEYS, TS))
+    """O-SNAP per (site, day), then the wide aggregate of the rows picked."""
+    return _fine(latest_snapshot(report, SNAP_KEYS, TS), keys)
 
 
 def ads_with_budget(ads: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -1,15 +1,13 @@
 """Search network (ad and keyword report) steps of the PPC datasets.
 
 Plan shape.  The reference reads the fact report four times (snapshot pick,
-clicks/cost, headline impressions, phone impressions).  Here the report is
-read once and combined map-side into a *fine* aggregate whose keys contain
-every key any consumer needs (ad texts, states, day, load time).  Because the
-snapshot key (site, ad group, day) and the load time are among those keys,
-picking the latest load on the fine rows keeps exactly the raw rows the
-reference keeps, and every later step (clicks/cost per ad, impressions per
-click type) is a re-aggregation of the fine rows.  So the 100 TB side is
-scanned once and shuffled once, after partial aggregation, which is also what
-makes a key holding a third of all rows harmless.
+clicks/cost, headline impressions, phone impressions).  Here the latest load
+of each (site, ad group, day) comes from a narrow scan of those columns,
+combined map-side; the report is joined to these maxima, so most of the
+history is gone before anything wide is shuffled.  The rows picked are then
+aggregated once to the finest key any consumer needs (ad texts, states, day,
+load time); clicks/cost per ad and impressions per click type are
+re-aggregations of those *latest* rows.
 """
 
 from __future__ import annotations
@@ -20,7 +18,7 @@ from pyspark.sql import functions as F
 from adledger.config import SiteConfig, sites_where
 from adledger.functions import (ad_description, is_display, micros_to_units, not_display,
                                 platform_tag, typed_null)
-from adledger.operators.snapshot import latest_snapshot, with_multiplicity
+from adledger.operators.snapshot import latest_rows_distinct, latest_snapshot, with_multiplicity
 
 TS = "_sdc_report_datetime"
 # Parity: the latest load is picked per ad-group *name* and day.
@@ -77,7 +75,7 @@ def _clicktype_sums() -> list[Column]:
 
 
 def ad_fine(report: DataFrame, config: list[SiteConfig]) -> DataFrame:
-    """One pass over the ad report: partial sums at the finest key any step needs.
+    """Ad rows (the picked ones) summed at the finest key any step needs.
 
     ``search_rows`` evaluates the display exclusion inside the same aggregation
     (the campaign is a key, so it is the row predicate's value for the group),
@@ -93,7 +91,7 @@ def ad_fine(report: DataFrame, config: list[SiteConfig]) -> DataFrame:
 
 
 def keyword_fine(report: DataFrame) -> DataFrame:
-    """One pass over the keyword report (O-AGG-KW partials, max CPC in micros)."""
+    """Keyword rows (the picked ones) at the finest key (O-AGG-KW partials, max CPC in micros)."""
     return (report.groupBy(*KW_FINE_KEYS)
                   .agg(F.sum("clicks").alias("clicks"),
                        F.sum("cost").alias("cost_micros"),
@@ -102,11 +100,10 @@ def keyword_fine(report: DataFrame) -> DataFrame:
 
 
 def latest_rows(fine: DataFrame, keys: list[str] = SNAP_KEYS) -> DataFrame:
-    """O-SNAP on (site, ad group *name*, day) applied to the fine rows.
+    """O-SNAP on (site, ad group *name*, day).
 
-    Every raw row sits in a fine row with the same key and load time, so the
-    maxima over the fine rows equal the maxima over the raw rows and the rows
-    kept are exactly the fine rows of the raw rows the reference keeps.
+    Applied to raw rows before the fine aggregate.  Both orders give the same
+    rows, as the key and the load time are among the fine keys.
     """
     return latest_snapshot(fine, keys, TS)
 
@@ -175,7 +172,8 @@ def campaign_budget(campaign_report: DataFrame) -> DataFrame:
     """O-BUDGET: budget rows at the latest load of each campaign (DISTINCT)."""
     cols = ["site", "campaignid", "campaign", "budgetid", "hasrecommendedbudget",
             "budgetperiod", "budget", TS]
-    latest = latest_snapshot(campaign_report.select(*cols).distinct(), ["site", "campaignid"], TS)
+    keys = ["site", "campaignid"]
+    latest = latest_rows_distinct(campaign_report, keys, TS, [c for c in cols if c not in (*keys, TS)])
     return latest.select(
         "site", "campaignid", "campaign", "budgetid",
         F.col("hasrecommendedbudget").alias("has_recommended_budget"),

@@ -61,10 +61,20 @@ def latest_values(df: DataFrame, keys: list[str], order_col: str, value_col: str
     to the rows read at it (the reference applies it on both sides).
     """
     base = df if keep is None else df.where(keep)
-    distinct_rows = base.select(*keys, order_col, value_col).distinct()
-    return (latest_snapshot(distinct_rows, keys, order_col)
-            .select(*keys, value_col)
-            .distinct())
+    return latest_rows_distinct(base, keys, order_col, [value_col])
+
+
+def latest_rows_distinct(df: DataFrame, keys: list[str], order_col: str, cols: list[str]) -> DataFrame:
+    """DISTINCT ``keys`` + ``cols`` of the rows at the latest ``order_col`` per key, in one pass.
+
+    Per key and position the distinct values are gathered, then the last
+    position's are kept.  For entity-like reports, which hold a handful of
+    distinct rows per key and load.
+    """
+    return (df.where(_not_null([*keys, order_col]))
+              .groupBy(*keys, order_col).agg(F.collect_set(F.struct(*cols)).alias("__rows"))
+              .groupBy(*keys).agg(F.max_by("__rows", order_col).alias("__rows"))
+              .select(*keys, F.inline("__rows")))
 
 
 def with_multiplicity(df: DataFrame, keys: list[str], count_col: str = "__n") -> DataFrame:

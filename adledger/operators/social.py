@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adledger.config import SiteConfig, account_names_frame, adset_patterns
+from adledger.config import SiteConfig, account_name, adset_patterns
 from adledger.functions import to_micros
 from adledger.operators.snapshot import latest_snapshot
 
@@ -42,7 +42,6 @@ def adset_filter(config: list[SiteConfig]) -> Column | None:
 def social_base(insights: DataFrame, campaigns: DataFrame, adsets: DataFrame,
                 config: list[SiteConfig]) -> DataFrame:
     """O-JOIN-FB + O-PATTERN + O-PROJ-F + F9 + DISTINCT."""
-    spark = insights.sparkSession
     adset_ids = adsets.select("site", F.col("id").alias("adset_id")).distinct()
     camps = campaigns.select("site", F.col("id").alias("campaign_id"), "account_id",
                              F.col("name").alias("campaign_name")).distinct()
@@ -50,18 +49,20 @@ def social_base(insights: DataFrame, campaigns: DataFrame, adsets: DataFrame,
     cond = adset_filter(config)
     if cond is not None:
         ins = ins.where(cond)
-    # The account-name map has one row per configured site: bounded, broadcast.
-    names = F.broadcast(account_names_frame(spark, config))
     base = (ins.join(adset_ids, ["site", "adset_id"], "left_semi")
-               .join(camps, ["site", "campaign_id"], "inner")
-               .join(names, "account_id", "left"))
+               .join(camps, ["site", "campaign_id"], "inner"))
     return base.select(
         "site", "account_id", "campaign_id", "campaign_name",
         F.col("adset_id").alias("adgroup_id"), F.col("adset_name").alias("adgroup_name"),
-        "ad_id", "ad_name", F.col("date_start").alias("date"), "account_name",
-        "impressions", "clicks", to_micros("spend").alias("cost_micros"), "reach", "frequency",
+        "ad_id", "ad_name", F.col("date_start").alias("date"),
+        account_name(F.col("account_id"), config).alias("account_name"),
+        "impressions", "clicks", "spend", "reach", "frequency",
         F.col("inline_link_clicks").alias("link_clicks"),
-    ).distinct()
+    ).distinct().select(
+        # DISTINCT compares the spend as reported; only then is it rounded to micros.
+        "site", "account_id", "campaign_id", "campaign_name", "adgroup_id", "adgroup_name", "ad_id", "ad_name",
+        "date", "account_name", "impressions", "clicks", to_micros("spend").alias("cost_micros"), "reach",
+        "frequency", "link_clicks")
 
 
 def latest_entity_status(entities: DataFrame, id_alias: str, status_alias: str) -> DataFrame:

@@ -22,7 +22,7 @@ from adledger.operators import partner, rollup, search, social
 from adledger.operators.snapshot import latest_snapshot
 from adledger.plans import ppc, views
 from adledger.plans import social as social_plan
-from adledger.session import apply_defaults, scratch_path
+from adledger.session import apply_defaults, scratch_path, stage_table
 from adledger.sources import sinks
 from adledger.sources.reports import for_network
 from adledger.sources.testdata import Reports, seeded_reports
@@ -397,9 +397,10 @@ def csv_export_roundtrip(spark, sf_dir):
     """O-EXPORT: unload the keywords dataset as header-less CSV per site, read it back."""
     path = scratch_path(spark, "export")
     ds = ppc_keywords_daily(spark, sf_dir)
-    sinks.export_csv(ds, path)
-    schema = ds.drop("site").schema
-    back = sinks.read_csv_export(spark, path, schema)
+    ds = stage_table(ds, "export")   # one computation for all sites' directories
+    sites = [c.site for c in CONFIG if c.google or c.bing]
+    sinks.export_csv(ds, f"{path}/keywords", sites)
+    back = sinks.read_csv_export(spark, f"{path}/keywords", ds.drop("site").schema, sites)
     return back.select("site", *schemas.KEYWORD_COLUMNS)
 
 

@@ -1,10 +1,9 @@
 """The daily refresh as one Spark job: every dataset for every site.
 
-Builds the shared stages once (one staging table per search report, one
-campaign-budget computation for both), publishes the five datasets
-partitioned by site under ``out_root`` and releases the staging tables.
-Each dataset is written with dynamic partition overwrite, so a failed or
-partial run can simply be re-run.  ``r`` is a ``sources.reports.RawReports``
+Builds the shared stages once (the picked rows of each search report, and the
+campaign budgets for both), publishes the five datasets partitioned by site
+under ``out_root``, then the five union views over them, and releases the
+staging tables.  A failed or partial run can simply be re-run.  ``r`` is a ``sources.reports.RawReports``
 (``read_reports``) or the seeded-table ``sources.testdata.Reports``.
 """
 
@@ -15,9 +14,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from adledger.config import SiteConfig
-from adledger.plans import ppc, social
-from adledger.sources.sinks import publish
+from adledger.plans import ppc, social, views
+from adledger.session import release_all, stage_table
 from adledger.sources.reports import RawReports
+from adledger.sources.sinks import publish, read_published
 
 DATASETS = ("ppc_creatives", "display_creatives", "ppc_keywords", "display_keywords",
             "social_ads")
@@ -26,7 +26,7 @@ DATASETS = ("ppc_creatives", "display_creatives", "ppc_keywords", "display_keywo
 def build_all(r: RawReports, config: list[SiteConfig], as_of: dt.date | str | None = None
               ) -> tuple[dict[str, DataFrame], list[ppc.SearchStage]]:
     """The five datasets (lazy apart from the staging writes) and the stages behind them."""
-    budget = ppc.search_budget(r.google_campaign_report, config)
+    budget = stage_table(ppc.search_budget(r.google_campaign_report, config), "campaign-budget")
     ads = ppc.search_ads_stage(r.google_ads, r.google_campaign_report, config, budget=budget)
     kws = ppc.search_keywords_stage(r.google_keywords, r.google_campaign_report, config,
                                     budget=budget)
@@ -48,14 +48,17 @@ def build_all(r: RawReports, config: list[SiteConfig], as_of: dt.date | str | No
 
 def run_daily(r: RawReports, config: list[SiteConfig], out_root: str,
               as_of: dt.date | str | None = None) -> dict[str, str]:
-    """Publish every dataset under ``out_root``; return dataset name -> path."""
-    datasets, stages = build_all(r, config, as_of)
-    paths = {}
+    """Publish every dataset and view under ``out_root``; return name -> path."""
+    sites, paths, built = [c.site for c in config], {}, {}
     try:
+        datasets, _ = build_all(r, config, as_of)
         for name, df in datasets.items():
             paths[name] = f"{out_root.rstrip('/')}/{name}"
-            publish(df, paths[name])
+            publish(df, paths[name], sites=sites)
+            built[name] = read_published(df.sparkSession, paths[name])
+        for name, df in views.union_views(**built).items():
+            paths[name] = f"{out_root.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(paths[name])   # views have no site column
     finally:
-        for st in stages:
-            st.release()
+        release_all()
     return paths

@@ -23,23 +23,28 @@ from adledger.sources.reports import for_network
 class SearchStage:
     """Shared intermediate results of one search network report.
 
-    ``fine`` (one pass over the report, combined map-side) is read by the
-    snapshot maxima, the clicks/cost rows and the click-type impressions, each
-    needing other columns.  Left lazy, column pruning would give every consumer
-    its own variant of the aggregate and the report would be scanned and
-    shuffled once per consumer, so it is written once as a staging table in the
-    shared checkpoint folder (``session.stage_table``) and all consumers read
-    that.
+    ``latest`` (the picked rows at the finest key) and ``totals`` (impressions
+    by click type) each have several consumers that need other columns.  Left
+    lazy, every consumer would scan and shuffle the report once more, so both
+    are written as staging tables in the shared checkpoint folder
+    (``session.stage_table``).  Only picked rows are staged, not the history.
     """
-    fine: DataFrame
     latest: DataFrame
+    totals: DataFrame
     head: DataFrame
     phone: DataFrame
     budget: DataFrame
 
     def release(self) -> None:
-        """Delete the staging table (after the datasets built on it are written)."""
-        drop_staged(self.fine.sparkSession, self.fine)
+        """Delete the staging tables (after the datasets built on them are written)."""
+        for df in (self.latest, self.totals):
+            drop_staged(df)
+
+
+def _stage(fine: DataFrame, item_id: str, budget: DataFrame) -> SearchStage:
+    latest = stage_table(fine, f"search-{item_id}-latest")
+    totals = stage_table(search.clicktype_totals(latest, item_id), f"search-{item_id}-clicktypes")
+    return SearchStage(latest, totals, *search.split_clicktypes(totals, item_id), budget)
 
 
 def search_budget(campaign_report: DataFrame, config: list[SiteConfig]) -> DataFrame:
@@ -53,11 +58,8 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
                      budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P1/P2.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     ads = for_network(google_ads, config, "google")
-    fine = stage_table(search.ad_fine(ads, config), "search-ad-fine")
-    latest = search.latest_rows(fine, snapshot_keys)
-    head, phone = search.clicktype_impressions(latest, "adid")
     budget = budget if budget is not None else search_budget(campaign_report, config)
-    return SearchStage(fine, latest, head, phone, budget)
+    return _stage(search.ad_fine(search.latest_rows(ads, snapshot_keys), config), "adid", budget)
 
 
 def google_creative_rows(stage: SearchStage, display: bool = False,
@@ -105,11 +107,8 @@ def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame
                           budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P3/P4.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     kws = for_network(google_keywords, config, "google")
-    fine = stage_table(search.keyword_fine(kws), "search-keyword-fine")
-    latest = search.latest_rows(fine, snapshot_keys)
-    head, phone = search.clicktype_impressions(latest, "keywordid")
     budget = budget if budget is not None else search_budget(campaign_report, config)
-    return SearchStage(fine, latest, head, phone, budget)
+    return _stage(search.keyword_fine(search.latest_rows(kws, snapshot_keys)), "keywordid", budget)
 
 
 def google_keyword_rows(stage: SearchStage, campaigns: DataFrame, config: list[SiteConfig],

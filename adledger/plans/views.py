@@ -53,17 +53,22 @@ def view_all_ppc_keywords(ppc_keywords: DataFrame, display_keywords: DataFrame)
     return _keywords(ppc_keywords).unionByName(_keywords(display_keywords))
 
 
-def register_views(ppc_creatives: DataFrame, display_creatives: DataFrame,
-                   ppc_keywords: DataFrame, display_keywords: DataFrame,
-                   social_ads: DataFrame) -> dict[str, DataFrame]:
-    """O-VIEW: register the five union views as temporary views for SQL users."""
-    built = {
+def union_views(ppc_creatives: DataFrame, display_creatives: DataFrame,
+                ppc_keywords: DataFrame, display_keywords: DataFrame,
+                social_ads: DataFrame) -> dict[str, DataFrame]:
+    """The five union views over the five datasets."""
+    return {
         "view_ppc_creatives": view_ppc_creatives(ppc_creatives),
         "view_ppc_keywords": view_ppc_keywords(ppc_keywords),
         "view_social": view_social(social_ads),
         "view_all_ppc_creatives": view_all_ppc_creatives(ppc_creatives, display_creatives),
         "view_all_ppc_keywords": view_all_ppc_keywords(ppc_keywords, display_keywords),
     }
+
+
+def register_views(*datasets: DataFrame) -> dict[str, DataFrame]:
+    """O-VIEW: register the union views (arguments as ``union_views``) as temporary views for SQL users."""
+    built = union_views(*datasets)
     for name, df in built.items():
         df.createOrReplaceTempView(name)
     return built

@@ -76,18 +76,36 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED[id(out)] = (out, path)
+    return out
 
 
-def staged_paths(df: DataFrame) -> list[str]:
-    """The staging folders a DataFrame returned by ``stage_table`` reads."""
-    return sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+# Staged tables not yet dropped: the DataFrame that reads each, and its folder.
+_STAGED: dict[int, tuple[DataFrame, str]] = {}
 
 
-def drop_staged(spark: SparkSession, df: DataFrame) -> None:
+def staged_paths(df: DataFrame | None = None) -> list[str]:
+    """The staging folder of a DataFrame returned by ``stage_table``; without one, of all not yet dropped."""
+    return sorted(path for key, (_, path) in _STAGED.items() if df is None or key == id(df))
+
+
+def drop_staged(df: DataFrame) -> None:
     """Delete the staging folder behind ``df`` once every dataset built on it is written."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    for p in staged_paths(df):
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, True)
+    if id(df) in _STAGED:
+        delete_folder(df.sparkSession, _STAGED.pop(id(df))[1])
+
+
+def release_all() -> None:
+    """Drop every staged table: after queries whose results have been written or collected."""
+    for df, _ in list(_STAGED.values()):
+        drop_staged(df)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever storage it is.
+
+    PySpark has no public call for this, so it goes through Hadoop's file system.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

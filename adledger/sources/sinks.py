@@ -1,44 +1,90 @@
 """O-PUBLISH / O-EXPORT: write datasets.
 
-Datasets are written as Parquet partitioned by ``site`` with dynamic
-partition overwrite, so refreshing a subset of sites replaces only their
-partitions.  The CSV export writes one directory per site, no header, as the
-reference's unload does.  Both go to shared storage; nothing is written to a
-machine-local folder.
+Datasets are written as Parquet partitioned by ``site``; refreshing some sites
+replaces just their partitions, also where a site's result is now empty.  The
+CSV export writes one directory per site, without header, as the reference's
+unload does.  Both go to shared storage; nothing is written to a machine-local
+folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from functools import reduce
+from urllib.parse import quote
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-def publish(df: DataFrame, path: str, partition_by: str = "site") -> None:
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_by)
-       .parquet(path))
+from adledger.session import delete_folder
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def publish(df: DataFrame, path: str, partition_by: str = "site", sites: list[str] | None = None) -> None:
+    """Replace the dataset's partitions that ``df`` holds, and clear those of ``sites`` without rows.
 
+    Rows are rebalanced by site before the write: few files a site, and a
+    large site is split over several tasks.
+    """
+    seen = Observation()
+    rows = df.observe(seen, F.collect_set(F.col(partition_by).cast("string")).alias("written"))
+    (rows.hint("rebalance", partition_by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_by)
+         .parquet(path))
+    if sites:
+        for site in sorted(set(sites) - set(seen.get["written"])):
+            delete_folder(df.sparkSession, f"{path}/{partition_by}={_partition_name(site)}")
 
-# Null marker of the CSV export, distinct from the empty string so that both
-# survive a round trip.
+
+def _partition_name(value: str) -> str:
+    """A partition value as the writer escapes it in a folder name."""
+    special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+
+
+def read_published(spark: SparkSession, path: str, partition_by: str = "site") -> DataFrame:
+    """A published dataset; the partition column is the string it was written from."""
+    found = spark.read.parquet(path).schema
+    schema = StructType([StructField(f.name, StringType()) if f.name == partition_by else f for f in found])
+    return spark.read.schema(schema).parquet(path)
+
+
+# Null marker of the CSV export.  A text that starts with a backslash gets one more, so none can be the marker.
 CSV_NULL = "\\N"
+CSV_OPTIONS = {"header": "false", "nullValue": CSV_NULL, "emptyValue": "", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema])
+
+
+def _guarded(c: Column) -> Column:
+    return F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c)
+
+
+def _unguarded(c: Column) -> Column:
+    return F.when(c.startswith("\\\\"), F.substr(c, F.lit(2))).otherwise(c)
+
+
+def _folder(path: str, site: str) -> str:
+    return f"{path.rstrip('/')}/{quote(site, safe=' ')}"
+
 
+def export_csv(df: DataFrame, path: str, sites: list[str]) -> None:
+    """Unload each of ``sites`` (the configured ones) as header-less CSV into ``path/<site>``.
 
-def export_csv(df: DataFrame, path: str, partition_by: str = "site") -> None:
-    """Unload as header-less CSV, one sub-directory per site."""
-    (df.write.mode("overwrite")
-       .option("header", False)
-       .option("nullValue", CSV_NULL)
-       .partitionBy(partition_by)
-       .csv(path))
+    Other sites' directories stay as they are; a site without rows gets an
+    empty one.  ``path`` names the dataset's family, such as ``.../keywords``.
+    """
+    for site in sites:
+        rows = df.where(F.col("site") == site).drop("site")
+        _texts(rows, _guarded).write.mode("overwrite").options(**CSV_OPTIONS, quoteAll="true").csv(_folder(path, site))
 
 
-def read_csv_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read an export back with a pinned schema (the partition column comes from the path)."""
-    return (spark.read.schema(schema).option("header", False)
-            .option("nullValue", CSV_NULL).csv(path))
+def read_csv_export(spark: SparkSession, path: str, schema: StructType, sites: list[str]) -> DataFrame:
+    """Read an export back with a pinned schema (without ``site``, which the directories give)."""
+    parts = [_texts(spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(_folder(path, s)),
+                    _unguarded).withColumn("site", F.lit(s)) for s in sites]
+    return reduce(DataFrame.unionByName, parts)

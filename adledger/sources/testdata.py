@@ -24,19 +24,11 @@ from adledger.functions import to_micros
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-# Fact-like seeded tables.  Each seeded file is a single Parquet row group, so a
-# scan of it is one task; when that leaves cores idle the rows are hashed over
-# the cores right after the scan.  Real report folders hold many files and
-# never take this branch.
-FACT_TABLES = ("lineitem", "orders", "events")
 # Dimensions whose size is fixed by the TPC-H definition (25 nations, 5 regions):
 # the only tables these adapters broadcast explicitly.
 FIXED_SIZE = ("nation", "region")
 
 
-_SPREAD: dict[str, bool] = {}
-
-
 @dataclass
 class Tables:
     spark: SparkSession
@@ -53,17 +45,8 @@ class Tables:
         return self._frames[name]
 
     def _read(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        df = self.spark.read.parquet(path)
-        if name in FIXED_SIZE:
-            return F.broadcast(df)
-        if name in FACT_TABLES:
-            cores = self.spark.sparkContext.defaultParallelism
-            if path not in _SPREAD:
-                _SPREAD[path] = df.rdd.getNumPartitions() < cores
-            if _SPREAD[path]:
-                df = df.repartition(cores, df.columns[0])
-        return df
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return F.broadcast(df) if name in FIXED_SIZE else df
 
 
 def _month(c: str) -> Column:

@@ -45,7 +45,7 @@ def refresh_on_new_loads(spark: SparkSession, source_path: str, schema: StructTy
         sites = sorted(r["site"] for r in batch.select("site").distinct().collect()
                        if r["site"] is not None)
         if sites:
-            publish(build(sites).where(F.col("site").isin(sites)), target_path)
+            publish(build(sites).where(F.col("site").isin(sites)), target_path, sites=sites)
 
     stream = spark.readStream.schema(schema).parquet(source_path)
     writer = (stream.writeStream.foreachBatch(on_batch)
