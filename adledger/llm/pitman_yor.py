@@ -32,9 +32,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,26 +51,28 @@ ROOT, CONTEXT = (0.5, 1.0), (0.75, 1.0)
 SWEEPS, KEPT, RESEATED = 3, 2, 64
 END, RARE, FIRST = 0, 1, 2
 SEED = 7
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 16 << 20
 # Distinct (document, pair) entries that a bucket holds, about.
 BUCKET_ENTRIES = 3_000_000
 SMOOTHING = 0.1
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
 class Batch:
-    """Texts as numbers of their distinct words."""
-
-    def __init__(self, texts: list[str | None]) -> None:
-        words = [tokens(t) for t in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        coded = pa.array([x for w in words for x in w], pa.binary()).dictionary_encode()
-        self.codes, self.words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        self.doc = np.repeat(np.arange(len(words)), self.sizes)
+    """Texts as numbers of their distinct words: A-Z lower-cased, between ASCII white space."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        said = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        doc, words = pc.list_parent_indices(said), pc.list_flatten(said)
+        is_word = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty piece
+        self.doc = doc.filter(is_word).to_numpy().astype(np.int64)
+        coded = words.filter(is_word).dictionary_encode()
+        self.sizes = np.bincount(self.doc, minlength=len(texts))
+        self.codes, self.dictionary = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+
+    @cached_property
+    def words(self) -> list[bytes]:
+        return self.dictionary.to_pylist()
 
     def pairs(self, dishes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pair, text, count) of the distinct ones; a pair is context << 32 | word; ``dishes`` by word."""
@@ -76,13 +80,15 @@ class Batch:
         at = np.arange(len(self.codes)) + self.doc + 1  # an end before each text
         seq = np.full(len(self.codes) + n + 1, END, np.uint64)
         seq[at] = dishes[self.codes]
-        pair = seq[:-1] << np.uint64(32) | seq[1:]
-        doc = np.repeat(np.arange(n, dtype=np.uint64), self.sizes + 1)
-        order = np.lexsort((doc, pair))
-        pair, doc = pair[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])])
-                               if len(pair) else np.zeros(0, bool))
-        return pair[first], doc[first].astype(np.int64), np.diff(np.append(first, len(pair)))
+        bits, low = int(seq.max()).bit_length(), n.bit_length()
+        assert 2 * bits + low <= 64, "the numbers of dishes and texts of a batch fit one sort key"
+        bits, low = np.uint64(bits), np.uint64(low)
+        key = (seq[:-1] << bits | seq[1:]) << low
+        key |= np.repeat(np.arange(n, dtype=np.uint64), self.sizes + 1)
+        key, times = np.unique(key, return_counts=True)
+        doc = (key & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+        key >>= low
+        return key >> bits << np.uint64(32) | key & ((np.uint64(1) << bits) - np.uint64(1)), doc, times
 
 
 def _bucket(pair: np.ndarray, buckets: int) -> np.ndarray:
@@ -112,10 +118,10 @@ def _count_words(train: DataFrame) -> DataFrame:
     """(word, n) of all training tokens; the end is the empty word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BATCH_BYTES):
-            b = Batch(part.column("text").to_pylist())
+            b = Batch(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*b.words, b""], pa.binary()),
-                 pa.array(np.append(np.bincount(b.codes, minlength=len(b.words)), part.num_rows))], ["word", "n"])
+                [pa.concat_arrays([b.dictionary, pa.array([b""], pa.binary())]),
+                 pa.array(np.append(np.bincount(b.codes, minlength=len(b.dictionary)), part.num_rows))], ["word", "n"])
 
     return train.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -159,7 +165,7 @@ def _count_pairs(train: DataFrame, shared, buckets: int) -> DataFrame:
     """For each bucket: its pairs seen once (``ones``) and the others with their counts (``more``, ``n``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", BATCH_BYTES):
-            b = Batch(part.column("text").to_pylist())
+            b = Batch(part.column("text"))
             get = shared.value.dish.get
             pair, _, n = b.pairs(np.array([get(w, RARE) for w in b.words], np.uint64))
             first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
@@ -428,7 +434,7 @@ def _asked(rows: DataFrame, shared, buckets: int, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for part in slices(batches, "text", BATCH_BYTES):
-            b, w = Batch(part.column("text").to_pylist()), shared.value
+            b, w = Batch(part.column("text")), shared.value
             dish = np.array([w.dish.get(x, -1) for x in b.words], np.int64)
             n = len(b.sizes)
             per_text = lambda x: np.bincount(b.doc, x[b.codes] if len(b.codes) else None, n)
