@@ -29,6 +29,7 @@ every word is the one unknown word.  Other columns are never read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -220,13 +221,26 @@ def reseat(dishes: list[int], sizes: list[list[int]], tables: int, p0: list[floa
            rng: np.random.Generator) -> int:
     """A Gibbs sweep over a restaurant, in place: customers leave and are seated again; returns its tables.
 
-    ``tables`` counts all tables, those of dishes that aren't listed too.
+    ``tables`` counts all tables, those of dishes that aren't listed too.  While a dish has one table, moves that
+    leave it so change nothing, and the number of them before a table opens is geometric: one draw for all.
     """
     d, theta = law
-    draws = iter(rng.random(2 * sum(min(sum(s), RESEATED) for s in sizes)).tolist())
+    draws = _draws(rng)
     for w, s in zip(dishes, sizes, strict=True):
         n, p = sum(s), p0[w]
-        for _ in range(min(n, RESEATED)):
+        left = min(n, RESEATED)
+        while left:
+            if len(s) == 1 < n:
+                new = (theta + d * tables) * p
+                stay = int(math.log(1 - next(draws)) / math.log1p(-new / (new + n - 1 - d)))
+                if stay >= left:
+                    break
+                left -= stay + 1
+                s[0] -= 1
+                s.append(1)
+                tables += 1
+                continue
+            left -= 1
             r, k = next(draws) * n, 0
             while k < len(s) - 1 and (r := r - s[k]) >= 0:
                 k += 1
@@ -246,6 +260,11 @@ def reseat(dishes: list[int], sizes: list[list[int]], tables: int, p0: list[floa
     return tables
 
 
+def _draws(rng: np.random.Generator) -> Iterator[float]:
+    while True:
+        yield from rng.random(256).tolist()
+
+
 def seat_root(customers: np.ndarray, law: tuple[float, float], rng: np.random.Generator) -> tuple[np.ndarray, int]:
     """The root's predictive probabilities, its customers seated anew, all dishes side by side; and its tables."""
     d, theta = law
