@@ -194,9 +194,24 @@ def _count_pairs(train: DataFrame, shared, buckets: int) -> DataFrame:
 
 
 def seated(n: int, p0: float, tables: int, law: tuple[float, float], rng: np.random.Generator) -> list[int]:
-    """The tables of ``n`` customers of one dish seated one after the other; later ones of many in blocks."""
+    """The tables of ``n`` customers of one dish seated one after the other; later ones of many in blocks.
+
+    How many sit at the first table before a second opens has a closed form: one draw for all of them.
+    """
     d, theta = law
-    sizes, j = [1], 1
+    new = (theta + d * (tables + 1)) * p0
+
+    def log_all_first(m: int) -> float:
+        return math.lgamma(m - d) - math.lgamma(1 - d) + math.lgamma(new + 1 - d) - math.lgamma(new + m - d)
+
+    u = math.log(1 - rng.random())
+    if n == 1 or u <= log_all_first(n):
+        return [n]
+    j, opens = 1, n  # the first j customers share a table, the first ``opens`` don't
+    while opens - j > 1:
+        middle = (j + opens) // 2
+        j, opens = (middle, opens) if u <= log_all_first(middle) else (j, middle)
+    sizes, j = [j, 1], opens
     while j < n:
         new = (theta + d * (tables + len(sizes))) * p0
         chance = new / (new + j - d * len(sizes))
