@@ -36,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adledger.llm.common import slices
@@ -185,18 +185,40 @@ def _by_midpoints(entries: DataFrame, max_bits: int) -> DataFrame:
                   .filter("fp > v").select(F.col("fp").alias("u"), "v").distinct())
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS,
-                    max_posting: int = MAX_POSTING) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (the smallest doc_id reachable) for every row."""
-    rows = stage_table(with_fingerprints(docs, k), "fingerprints")
-    entries = stage_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "entries")
+def _rooted(rows: DataFrame, name: Column, max_bits: int, max_posting: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows with ``fp``: each fingerprint's ``root``, and each root's ``least``, the least ``name`` of its rows."""
+    entries = stage_table(rows.groupBy("fp").agg(F.min(name).alias("least")), "entries")
     found = components(links(entries.select("fp"), max_bits, max_posting), "simhash")
     named = entries.join(found.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left")
     named = named.select("fp", F.coalesce("root", "fp").alias("root"), "least")
     # A fingerprint outside every component is its own root; only the others are grouped.
-    least = stage_table(named.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
-    classes = stage_table(named.join(least, "root").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return named, stage_table(named.groupBy("root").agg(F.min("least").alias("least")), "roots")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS,
+                    max_posting: int = MAX_POSTING) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id`` (the smallest doc_id reachable) for every row."""
+    rows = stage_table(with_fingerprints(docs, k), "fingerprints")
+    named, least = _rooted(rows, F.col("doc_id"), max_bits, max_posting)
+    classes = named.select("fp", "root").join(least, "root").select("fp", F.col("least").alias("component_id"))
+    return rows.join(stage_table(classes, "classes"), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS,
+                max_posting: int = MAX_POSTING) -> DataFrame:
+    """Just one row of each group of near duplicates, with the columns of ``docs``.
+
+    It is the row of the smallest doc_id; rows without one come after all others.  Of rows that share that doc_id any
+    one stays.  Rows are told apart by a number that is written with them.
+    """
+    number = F.monotonically_increasing_id().alias("number")
+    rows = stage_table(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), number), "numbered")
+    key = F.struct(F.col("row.doc_id").alias("doc_id"), "number")
+    marked = stage_table(with_fingerprints(rows.select(key.alias("doc_id"), F.col("row.text").alias("text")), k),
+                         "fingerprints")
+    name = F.struct(F.col("doc_id.doc_id").isNull().alias("unnamed"), F.col("doc_id.doc_id"), F.col("doc_id.number"))
+    _, least = _rooted(marked, name, max_bits, max_posting)
+    return rows.join(least.select("least.number"), "number", "left_semi").select("row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -29,9 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest doc_id stays."""
-    classes = simhash.near_duplicates(docs).select("doc_id", "component_id").filter("doc_id = component_id")
-    return docs.join(stage_table(classes.select("doc_id").distinct(), "kept-ids"), "doc_id", "left_semi").select(docs.columns)
+    """Of each group of near duplicates just one row stays, that of the smallest doc_id (a null one only if all are)."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

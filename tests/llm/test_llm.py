@@ -226,6 +226,24 @@ def test_simhash_equals_comparing_all_pairs(docs):
     assert simhash.digest(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline
+    near = next(x for k in range(99) if 0 < (naive_fingerprint(COPY) ^ naive_fingerprint(x := f"{COPY} {k}")).bit_count() <= 4)
+    rows = [(1, COPY), (1, COPY), (2, COPY), (None, COPY), (None, near), (None, prose(50)), (3, prose(70)), (3, prose(70)),
+            (None, t := prose(90)), (None, t), (9, u := prose(80)), (9, u), (1, u), (4, None), (5, ""), (None, None)]
+    rows = [(i, x, k) for k, (i, x) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int").repartition(3)
+    named = naive_components([k for *_, k in rows], [naive_fingerprint(x) for _, x, _ in rows], 4)
+    groups = {}
+    for (i, _, k), c in zip(rows, named):
+        groups.setdefault(c, []).append((i is None, i or 0))
+    got = corpus_pipeline.near_dedup(spark, df, "")
+    assert got.columns == df.columns
+    kept = [(named[r.key], (r.doc_id is None, r.doc_id or 0)) for r in got.collect()]
+    assert sorted(kept) == sorted((c, min(ids)) for c, ids in groups.items())
+    assert corpus_pipeline.near_dedup(spark, df.where("false"), "").count() == 0
+
+
 @pytest.mark.parametrize("longest", [4096, 4])
 def test_links_connect_just_what_near_pairs_connect(spark, longest):
     r, fps = random.Random(9), set()
