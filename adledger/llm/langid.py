@@ -5,9 +5,12 @@ four characters, hashed to ``FEATURES`` features.  A text's vector holds each
 feature's share of all its n-grams times the feature's inverse document
 frequency, which is counted over all training texts.  Weights are learned by
 follow-the-regularised-leader with elastic-net penalties (the L1 part keeps
-them sparse) from a sample of at most about ``SAMPLE`` labelled documents,
-drawn by the hash of id and text; a fifth of the sample is kept back to fit
-the temperature that calibrates the scores.  Only the classifier is fitted on
+them sparse) from a sample of the labelled documents, drawn by the hash of id
+and text.  Each language's quota is its share of ``SAMPLE`` among the labelled
+texts, but ``LEAST`` at least, or all its texts where it has fewer; its text of
+the least hash is always drawn, so no language is without an example.  A fifth
+of each language's sample is kept back to fit the temperature that calibrates
+the scores, none of the first four.  Only the classifier is fitted on
 a sample: document frequencies and predictions cover every document whole.
 
 The driver gets the sample's sparse vectors (each at most ``FEATURES`` long)
@@ -19,13 +22,15 @@ batch once.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0.
 Rows without lang are not learned from, nor are rows without doc_id, which
 count as held out.  Repeated rows are learned from as often as they occur.  With no
-labelled row every text is ``und``.  Equal scores go to the first language in
+labelled row every text is ``und``; a labelled text without a letter is no
+example, and a language with only such texts is never predicted.  Equal scores go to the first language in
 order.  Other columns are kept or ignored, never read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +43,9 @@ from adledger.llm.common import slices
 
 # Hashed features, longest n-gram, and the languages that a table may hold.
 FEATURES, LONGEST, LANGUAGES = 1 << 16, 4, 500
-# Labelled documents that the classifier is fitted on, at most (about: each is drawn on its own).
-SAMPLE = 2000
+# Labelled documents that the classifier is fitted on, shared out by language, and those of a language at least
+# (about: each is drawn on its own).
+SAMPLE, LEAST = 2000, 40
 # Of every so many documents one is held out; of the sample one is for calibration.
 FOLDS, CALIBRATION = 5, 5
 # Follow-the-regularised-leader: step, its offset, L1, L2, passes.
@@ -47,6 +53,8 @@ ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 0.002, 0.001, 4
 # Brings the vectors to a length of about one.
 SCALE = 8.0
 UNKNOWN = "und"
+# Ranks that the hash of a labelled text has.
+RANKS = 1 << 30
 BATCH_BYTES = 8 << 20
 _find_words = re.compile(r"[^\W\d_]+").findall
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -228,27 +236,37 @@ def _sample_vectors(rows: DataFrame) -> list:
                   key=lambda r: (r[0], r[1]))
 
 
+def _quotas(labelled: dict[str, int], sample: int) -> dict[str, int]:
+    """For each language the rank below which its texts are drawn, by the number of its labelled texts."""
+    total = sum(labelled.values())
+    return {lang: min(RANKS, RANKS * max(LEAST * total, sample * n) // (total * n)) for lang, n in labelled.items()}
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> Model:
     """The model learned from text and lang of the documents that are not held out."""
     learned = docs.filter(~held_out(folds))
-    labelled = learned.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r[0] for r in labelled.groupBy(F.col("lang").cast("string").alias("lang")).count().sort("lang")
-             .limit(LANGUAGES + 1).collect()]
+    labelled = (learned.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+                .withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), "text")))
+    # Each labelled document is drawn on its own by its hash; no group is sorted for it.
+    rank = F.pmod(F.col("key"), F.lit(RANKS))
+    of_lang = (labelled.groupBy(F.col("lang").cast("string").alias("lang"))
+               .agg(F.count("*").alias("n"), F.min(rank).alias("first")).sort("lang").limit(LANGUAGES + 1).collect())
+    langs = [r["lang"] for r in of_lang]
     if len(langs) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not langs:
         return Model([], np.zeros((0, FEATURES)), np.zeros(0), 1.0)
     total, df = _document_frequencies(learned.filter(F.col("text").isNotNull()).select("text"))
     idf = np.log((1 + total) / (1 + df)) + 1
-    key = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    # Each labelled document is drawn on its own by its hash; no group is sorted for it.
-    of = 1 << 30
-    drawn = labelled.withColumn("key", key).filter(
-        F.pmod(F.col("key"), F.lit(of)) < F.lit(min(of, of * sample // max(1, total))))
+    below = _quotas({r["lang"]: r["n"] for r in of_lang}, sample)
+    drawn = labelled.filter(F.create_map(*[F.lit(x) for r in of_lang for x in (
+        r["lang"], max(below[r["lang"]], r["first"] + 1))])[F.col("lang").cast("string")] > rank)
     rows = [(k, langs.index(lang), f, c / c.sum() * idf[f] * SCALE)
             for k, lang, f, c in _sample_vectors(drawn) if len(f)]
-    fitted = [r[1:] for i, r in enumerate(rows) if i % CALIBRATION or len(rows) < 10]
-    kept = [r[1:] for i, r in enumerate(rows) if not (i % CALIBRATION or len(rows) < 10)]
+    fitted, kept, seen = [], [], Counter()
+    for _, label, f, v in rows:
+        seen[label] += 1
+        (fitted if seen[label] % CALIBRATION else kept).append((label, f, v))
     w, bias = train(fitted, len(langs))
     temperature = 1.0
     if kept:

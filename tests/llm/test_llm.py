@@ -152,6 +152,27 @@ def test_language_id_learns_and_handles_awkward_texts(spark, docs):
     assert langid.digest(df.where("false")).count() == 0 and langid.digest(docs).count() == len(ROWS)
 
 
+def test_language_id_has_examples_of_every_language_however_few_texts_are_labelled(spark):
+    said = {"en": "the and with this that from house", "de": "der und mit das nicht haus strasse",
+            "fr": "les avec dans pour cette maison rue", "fi": "talo katu tämä kanssa mutta ovat"}
+    r, rows = random.Random(4), []
+    for i in range(30000):
+        # One text in a hundred is labelled, and five of the last language are in all.
+        lang = ("en", "de", "fr")[i % 3] if i % 5000 else "fi"
+        rows.append((i, " ".join(r.choice(said[lang].split()) for _ in range(12)), lang if i % 100 == i // 100 % 100 or lang == "fi" else None))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = langid.fit(df)
+    assert model.langs == ["de", "en", "fi", "fr"] and all(np.abs(w).sum() > 0 for w in model.weights)
+    texts = [(lang, " ".join(r.choice(v.split()) for _ in range(12))) for lang, v in said.items() for _ in range(50)]
+    pred, score = model.predict([t for _, t in texts])
+    assert np.mean([p == lang for p, (lang, _) in zip(pred, texts)]) > .97
+    assert np.mean(np.array(score) >= .5) > .9
+    # Shares of the sample go by labelled texts; a rare language has all its texts.
+    quota = langid._quotas({"a": 10 ** 9, "b": 10 ** 6, "c": 30}, 2000)
+    assert quota["c"] == langid.RANKS and 30 < 10 ** 6 * quota["b"] / langid.RANKS <= 40
+    assert 1900 < 10 ** 9 * quota["a"] / langid.RANKS <= 2000
+
+
 def test_license_scan_finds_every_base_place_and_suppresses_contained_ones(docs):
     got = rows_of(licenses.digest(docs), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
     want = []
