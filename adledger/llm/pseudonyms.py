@@ -18,7 +18,10 @@ and runs with the same key:
 - mail addresses: the local part is permuted, its letters within letters of
   their case and its digits within digits; the domain stays.
 
-What fails its validation stays as it is.  Separators stay in their places.
+A candidate that fails its validation is tried shorter at its separators: an
+account or a telephone number without its last groups, then all runs of whole
+groups for cards, those grouped as cards usually are first, then the longest
+from the left.  What fails that too stays as it is.  Separators stay in their places.
 
 Each permutation is a balanced-as-can-be Feistel network on decimal halves
 whose round function is a keyed SHA-256; cycle-walking applies it again until
@@ -43,18 +46,32 @@ ROUNDS, WALK = 8, 128
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 AREAS, GROUPS, SERIALS = 898, 99, 9_999
 
+# Characters of an account, by country.
+ACCOUNTS = {15: "NO", 16: "BE", 18: "DK FK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ XK LT LU MN", 21: "HR LV LI CH",
+            22: "BH BG CR GE DE IE ME RS GB VA", 23: "GI IQ IL OM SO TL AE", 24: "AD CZ MD PK RO SA SK ES SE TN VG",
+            25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MR MC SM", 28: "AL AZ BY CY DO SV GT HN HU LB NI PL",
+            29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_BY_COUNTRY = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in ACCOUNTS.items())
+# What ends a run of numbers, as it is a value of its own; and what a telephone number doesn't run into.
+_OWN = (r"\d{4}-\d{2}-\d{2}(?![\w-])|\d{3}-\d{2}-\d{4}(?![\w-])|\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])|\d{2}/\d{2}/\d{4}(?![\w/])"
+        r"|\d{2}\.\d{2}\.\d{4}(?!\w)|\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)|[A-Za-z0-9._%+-]{1,64}+@")
+_CARD_NEXT = r"[ .-]?(?:\d{13}|(?:\d{4}[ -]){3}\d{4}(?!\d)|\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d))"
+# Numbers as cards are usually grouped.
+USUAL = r"^(?:\d{4} \d{4} \d{4} \d{4}|\d{4} \d{6} \d{4,5}|\d{13,19})(?!\d)"
+
 CANDIDATES = "|".join((
     r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+",
+    rf"(?<!\w)(?:{_BY_COUNTRY})(?!\w)",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<![\w.])\d{4}-\d{2}-\d{2}(?![\w-])",
     r"(?<![\w.])\d{2}/\d{2}/\d{4}(?![\w/])",
     r"(?<![\w.])\d{2}\.\d{2}\.\d{4}(?!\w)",
     r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    r"(?<!\w)\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)",
+    rf"(?<!\w)\+\d{{1,3}}(?:[ .-]?\(\d{{1,4}}\)|[ .-]\d{{1,4}})(?:(?!{_CARD_NEXT})[ .-]?\d{{2,4}}){{1,4}}(?!\w)",
     r"(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
     r"(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
-    r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)",
+    rf"(?<![\w.])(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:(?: (?!{_OWN})|-)\d++(?!\w))*+",
 ))
 # Without one of these no candidate can be in a text.
 GATE = r"@[A-Za-z0-9]|\d\D{0,3}\d"
@@ -219,15 +236,93 @@ KINDS: tuple[tuple[str, str, Callable[[Column, str], tuple[Column, Column]]], ..
 )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _result(kinds: Column, new: Column) -> Column:
+    return F.struct(kinds.alias("kinds"), new.alias("new"))
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _bare(groups: Column, start: Column, n: Column) -> Column:
+    """The digits and letters of ``n`` groups."""
+    return F.regexp_replace(F.array_join(F.slice(groups, start + 1, n), ""), "[ -]", "")
+
+
+def _is_card(digits: Column) -> Column:
+    return F.when(digits.rlike(r"^\d{13,19}$"), luhn_sum(digits) % 10 == 0).otherwise(False)
+
+
+def _cards_within(m: Column, key: str) -> Column:
+    """The result for a text in which runs of whole groups that are valid cards are replaced."""
+    def usual(groups: Column, i: Column) -> Column:
+        said = F.regexp_extract(F.regexp_replace(F.array_join(F.slice(groups, i + 1, 4), ""), "-", " "), USUAL, 0)
+        return F.when(_is_card(F.regexp_replace(said, " ", "")), F.size(F.split(said, " "))).otherwise(0)
+
+    def longest(groups: Column, i: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
+        return F.coalesce(F.array_max(F.filter(sizes, lambda n: _is_card(_bare(groups, i, n)))), F.lit(0))
+
+    def taken(groups: Column, known: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            # One that is grouped as usual isn't cut by an earlier one that isn't.
+            other = _let(longest(groups, i), lambda n: F.when(
+                F.forall(F.slice(known, i + 2, F.greatest(n - 1, F.lit(0))), lambda x: x == 0), n).otherwise(0))
+            at = lambda n: F.struct((i + n).alias("next"), F.concat(
+                acc["runs"], F.array(F.struct(i.alias("i"), n.alias("n")))).alias("runs"))
+            return F.when(i < acc["next"], acc).otherwise(_let(F.when(known[i] > 0, known[i]).otherwise(other),
+                                                              lambda n: F.when(n > 0, at(n)).otherwise(acc)))
+
+        none = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<i:int,n:int>>").alias("runs"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), none, step, lambda a: a["runs"])
+
+    def written(groups: Column, runs: Column) -> Column:
+        def step(acc: Column, r: Column) -> Column:
+            before = F.array_join(F.slice(groups, acc["next"] + 1, r["i"] - acc["next"]), "")
+            text = F.array_join(F.slice(groups, r["i"] + 1, r["n"]), "")
+            new = F.concat(_card(F.regexp_replace(text, "[ -]$", ""), key)[1], F.regexp_extract(text, "[ -]?$", 0))
+            return F.struct((r["i"] + r["n"]).alias("next"), F.concat(acc["out"], F.array(before, new)).alias("out"))
+
+        return F.aggregate(runs, F.struct(F.lit(0).alias("next"), _none().alias("out")), step, lambda a: F.concat(
+            F.array_join(a["out"], ""), F.array_join(F.slice(groups, a["next"] + 1, F.size(groups)), "")))
+
+    def replaced(groups: Column) -> Column:
+        known = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: usual(groups, i))
+        return _let(known, lambda k: _let(taken(groups, k), lambda runs: _result(
+            F.transform(runs, lambda _: F.lit("card")), written(groups, runs))))
+
+    return F.when(F.length(_digits(m)) >= 13, _let(F.split(m, "(?<=[ -])"), replaced)).otherwise(_result(_none(), m))
+
+
+def _shortened(m: Column, key: str) -> Column:
+    """The result for a candidate that isn't valid as a whole."""
+    def headed(kind: str, shape: str, make: Callable[[Column, str], tuple[Column, Column]]) -> Column:
+        heads = _let(F.split(m, "(?<=[ .-])"), lambda groups: F.transform(
+            F.sequence(F.lit(1), F.size(groups)),
+            lambda n: F.regexp_replace(F.array_join(F.slice(groups, 1, n), ""), "[ .-]$", "")))
+        valid = F.filter(heads, lambda h: F.when(h.rlike(shape), make(h, key)[0]).otherwise(False))
+        return _let(F.get(F.reverse(valid), F.lit(0)), lambda h: F.when(h.isNull(), _cards_within(m, key)).otherwise(
+            _let(_cards_within(F.substr(m, F.length(h) + 1), key), lambda rest: _result(
+                F.concat(F.array(F.lit(kind)), rest["kinds"]), F.concat(make(h, key)[1], rest["new"])))))
+
+    return (F.when(m.rlike(r"^[A-Z]{2}\d{2}"), headed("iban", r"^[A-Z]{2}\d{2}", _iban))
+             .when(m.rlike(r"^\+"), headed("phone", r"^\+", _phone)).otherwise(_cards_within(m, key)))
+
+
 def _replaced(m: Column, key: str) -> Column:
-    """(kind, new) of a candidate; kind is null where no validation holds."""
+    """(kinds, new) of a candidate; no kind where no validation holds."""
     out = None
     for kind, shape, make in KINDS:
         ok, new = make(m, key)
-        case = F.struct(F.lit(kind).alias("kind"), new.alias("new"))
+        case = _result(F.array(F.lit(kind)), new)
         is_it = F.when(m.rlike(shape), ok).otherwise(False)
         out = F.when(is_it, case) if out is None else out.when(is_it, case)
-    return out.otherwise(F.struct(F.lit(None).cast("string").alias("kind"), m.alias("new")))
+    return out.otherwise(_shortened(m, key))
 
 
 def pseudonymise(docs: DataFrame, key: str = "adledger") -> DataFrame:
@@ -239,12 +334,12 @@ def pseudonymise(docs: DataFrame, key: str = "adledger") -> DataFrame:
                      .otherwise(F.array().cast("array<string>")).alias("found"))
     new = F.transform("found", lambda m: _replaced(m, key))
     out = out.select("row", F.when(F.size("found") > 0, new)
-                     .otherwise(F.array().cast("array<struct<kind:string,new:string>>")).alias("new"))
+                     .otherwise(F.array().cast("array<struct<kinds:array<string>,new:string>>")).alias("new"))
     between = F.split(text, CANDIDATES, -1)
     joined = F.array_join(F.zip_with(between, F.col("new"), lambda a, b: F.concat(
         F.coalesce(a, F.lit("")), F.coalesce(b["new"], F.lit("")))), "")
     return out.select(F.col("row").withField("text", F.when(F.size("new") > 0, joined).otherwise(text)).alias("row"),
-                      F.transform(F.filter("new", lambda x: x["kind"].isNotNull()), lambda x: x["kind"]).alias("kinds"))
+                      F.flatten(F.transform("new", lambda x: x["kinds"])).alias("kinds"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -343,6 +343,34 @@ def test_pseudonyms_keep_format_and_links(docs):
     assert pseudonyms.digest(docs.where("false")).count() == 0
 
 
+def test_pseudonyms_beside_digits_and_capitals(spark):
+    card, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "ES91 2100 0418 4502 0005 1332"
+    cases = [  # text, what has to go, kinds, what stays
+        (f"card {card} 12/27", [card], "card", "12/27"), (f"card {card} 123", [card], "card", " 123"),
+        (f"card {card} 12/27 123 ok", [card], "card", "12/27 123 ok"), (f"no. 12 {card}", [card], "card", "no. 12 "),
+        (f"7 {card} 99.50 USD", [card], "card", " 99.50 USD"), (f"12345 {card}", [card], "card", "12345 "),
+        (f"{card} {amex} 1234", [card, amex], "card", " 1234"), (f"{card} 3rd", [card], "card", " 3rd"),
+        (f"4111111111111111 12 {card}", ["4111111111111111", card], "card", " 12 "),
+        (f"{card.replace(' ', '-')} 2024-02-29", [card.replace(" ", "-"), "2024-02-29"], "card,date", " "),
+        (f"{card} 219-09-9999", [card, "219-09-9999"], "card,ssn", " "),
+        (f"5 6 {card} 10.0.0.1", [card, "10.0.0.1"], "card,ip", "5 6 "),
+        (f"{iban} EUR", [iban], "iban", " EUR"), (f"{iban} EUR 100", [iban], "iban", " EUR 100"),
+        (f"{iban} 100", [iban], "iban", " 100"), (f"{iban} {card} 1", [iban, card], "card,iban", " 1"),
+        (f"{iban.replace(' ', '')} USD", [iban.replace(" ", "")], "iban", " USD"),
+        (f"+1 (736) 555-2678 {card}", ["555-2678", card], "card,phone", "+1 ("),
+        ("+1 (736) 555-2678 2024 1000", ["555-2678"], "phone", "+1 ("),
+        ("4539148803436468 12", [], "", "4539148803436468 12"), (f"{iban[:-1]}3 EUR", [], "", f"{iban[:-1]}3 EUR"),
+        (" ".join(["0"] * 11 + ["1"]), [], "", "0 0")]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    out = {r.doc_id: r for r in pseudonyms.digest(df).collect()}
+    for i, (text, gone, kinds, stays) in enumerate(cases):
+        assert (out[i].kinds, out[i].n_values) == (kinds, len(gone)), (text, out[i])
+        assert (len(out[i].text) == len(text) or "ip" in kinds) and stays in out[i].text and not any(x in out[i].text for x in gone), (text, out[i])
+        assert gone or out[i].text == text
+    plain = pseudonyms.digest(spark.createDataFrame([(0, f"is {card} so")], "doc_id long, text string")).first().text
+    assert out[0].text.startswith("card " + plain[3:-3])  # linked with the same card elsewhere
+
+
 def test_permutations_are_one_to_one(spark):
     nums = spark.range(1000).select(pseudonyms.F.lpad(pseudonyms.F.col("id").cast("string"), 3, "0").alias("d"), "id")
     got = nums.select(pseudonyms.permute_digits(pseudonyms.F.col("d"), "k", "t"),
