@@ -18,8 +18,9 @@ Work is dealt so that no frequent word or pair makes a hot task: pairs are
 dealt by the hash of both words, in sorted blocks of a batch each, a document's
 repeats counted.  A pair seen once has one table for certain; only the others
 have a seating, kept in a written table with a row per restaurant.  A sweep
-reseats up to ``RESEATED`` customers a dish, drawn at random (random-scan
-Gibbs), so its work is bounded for the most frequent pairs as well.
+reseats all customers, dish by dish; its work goes by the tables, not by the
+customers, whose waiting times till a table opens are drawn at once.  The root
+is held while the restaurants are swept, then swept itself.
 
 Defined cases: a null or empty text is its end token alone.  Rows without
 doc_id aren't learned from and count as held out.  Repeated rows are learned
@@ -47,9 +48,9 @@ from adledger.session import stage_table
 
 # Words that are dishes of their own; of every so many documents one is held out.
 VOCABULARY, FOLDS = 65_000, 10
-# Discount and strength of the root and of the contexts; sweeps, the last of which are averaged; moves a dish.
+# Discount and strength of the root and of the contexts; sweeps, the last of which are averaged.
 ROOT, CONTEXT = (0.5, 1.0), (0.75, 1.0)
-SWEEPS, KEPT, RESEATED = 3, 2, 64
+SWEEPS, KEPT = 3, 2
 END, RARE, FIRST = 0, 1, 2
 SEED = 7
 BATCH_BYTES = 16 << 20
@@ -193,85 +194,64 @@ def _count_pairs(train: DataFrame, shared, buckets: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(add, "bucket long, ones binary, more binary, n binary")
 
 
-def seated(n: int, p0: float, tables: int, law: tuple[float, float], rng: np.random.Generator) -> list[int]:
-    """The tables of ``n`` customers of one dish seated one after the other; later ones of many in blocks.
+def _runs(n: int, p0: float, tables: int, law: tuple[float, float], draws: Iterator[float],
+          runs: tuple[int, ...] | list[int] = ()) -> list[int]:
+    """A proposal for the seating of ``n`` customers of one dish, the first of them as in ``runs``, if any.
 
-    How many sit at the first table before a second opens has a closed form: one draw for all of them.
+    A run is the customers from one that opens a table to the one before the next that does, so there are as many as
+    tables.  A table opened after j customers makes the joining of all later ones less likely, by (j / n) ** discount
+    in all, so tables open at about that rate; the waiting time to the next has a closed form.  ``tables`` are of
+    other dishes.
     """
     d, theta = law
-    new = (theta + d * (tables + 1)) * p0
-
-    def log_all_first(m: int) -> float:
-        return math.lgamma(m - d) - math.lgamma(1 - d) + math.lgamma(new + 1 - d) - math.lgamma(new + m - d)
-
-    u = math.log(1 - rng.random())
-    if n == 1 or u <= log_all_first(n):
-        return [n]
-    j, opens = 1, n  # the first j customers share a table, the first ``opens`` don't
-    while opens - j > 1:
-        middle = (j + opens) // 2
-        j, opens = (middle, opens) if u <= log_all_first(middle) else (j, middle)
-    sizes, j = [j, 1], opens
+    out = list(runs) or [1]
+    j = sum(out)
     while j < n:
-        new = (theta + d * (tables + len(sizes))) * p0
-        chance = new / (new + j - d * len(sizes))
-        block = 1 if j < 64 else min(n - j, j // 8)
-        if block == 1:
-            if rng.random() < chance:
-                sizes.append(1)
-            else:
-                r, k = rng.random() * (j - d * len(sizes)), 0
-                while k < len(sizes) - 1 and (r := r - (sizes[k] - d)) >= 0:
-                    k += 1
-                sizes[k] += 1
-        else:
-            fresh = int(rng.binomial(block, chance))
-            weight = np.array(sizes) - d
-            sizes = (np.array(sizes) + rng.multinomial(block - fresh, weight / weight.sum())).tolist() + [1] * fresh
-        j += block
-    return sizes
+        new = (theta + d * (tables + len(out))) * p0
+        at = (j / n) ** d - math.log(1 - next(draws)) * d / new
+        if at >= 1:
+            out[-1] += n - j
+            break
+        i = min(n - 1, max(j, math.ceil(n * at ** (1 / d)) - 1))
+        out[-1] += i - j
+        out.append(1)
+        j = i + 1
+    return out
+
+
+def _weight(runs: list[int], p0: float, tables: int, law: tuple[float, float]) -> float:
+    """The logarithm of the seating's probability over that of its proposal, up to a constant."""
+    d, theta = law
+    n, out, a = sum(runs), 0.0, 1
+    for k, run in enumerate(runs, 1):
+        new, b = (theta + d * (tables + k)) * p0, a + run - 1
+        out += math.lgamma(b - d * k) - math.lgamma(a - d * k) + new / d * ((b / n) ** d - (a / n) ** d)
+        if k < len(runs):
+            out += math.log(new) - math.log(-math.expm1(-new / d * (((b + 1) / n) ** d - (b / n) ** d)))
+        a = b + 1
+    return out
 
 
 def reseat(dishes: list[int], sizes: list[list[int]], tables: int, p0: list[float], law: tuple[float, float],
            rng: np.random.Generator) -> int:
-    """A Gibbs sweep over a restaurant, in place: customers leave and are seated again; returns its tables.
+    """A Gibbs sweep over a restaurant, in place: every customer leaves and is seated again; returns its tables.
 
-    ``tables`` counts all tables, those of dishes that aren't listed too.  While a dish has one table, moves that
-    leave it so change nothing, and the number of them before a table opens is geometric: one draw for all.
+    ``tables`` counts all tables, those of dishes that aren't listed too; ``sizes`` has the runs of each dish.  The
+    customers of a dish leave together; a new seating of all is proposed and accepted by Metropolis and Hastings' rule,
+    which makes it exact.  Only runs are kept: nothing depends on who sits where.
     """
-    d, theta = law
     draws = _draws(rng)
     for w, s in zip(dishes, sizes, strict=True):
-        n, p = sum(s), p0[w]
-        left = min(n, RESEATED)
-        while left:
-            if len(s) == 1 < n:
-                new = (theta + d * tables) * p
-                stay = int(math.log(1 - next(draws)) / math.log1p(-new / (new + n - 1 - d)))
-                if stay >= left:
-                    break
-                left -= stay + 1
-                s[0] -= 1
-                s.append(1)
-                tables += 1
-                continue
-            left -= 1
-            r, k = next(draws) * n, 0
-            while k < len(s) - 1 and (r := r - s[k]) >= 0:
-                k += 1
-            s[k] -= 1
-            if not s[k]:
-                del s[k]
-                tables -= 1
-            new = (theta + d * tables) * p
-            r, k = next(draws) * (new + n - 1 - d * len(s)) - new, 0
-            if r < 0 or not s:
-                s.append(1)
-                tables += 1
-                continue
-            while k < len(s) - 1 and (r := r - (s[k] - d)) >= 0:
-                k += 1
-            s[k] += 1
+        n = sum(s)
+        if n == 1:
+            continue
+        others, p = tables - len(s), p0[w]
+        new = _runs(n, p, others, law, draws)
+        if new != s:
+            gain = _weight(new, p, others, law) - _weight(s, p, others, law)
+            if gain >= 0 or next(draws) < math.exp(gain):
+                s[:] = new
+                tables = others + len(s)
     return tables
 
 
@@ -280,20 +260,33 @@ def _draws(rng: np.random.Generator) -> Iterator[float]:
         yield from rng.random(256).tolist()
 
 
-def seat_root(customers: np.ndarray, law: tuple[float, float], rng: np.random.Generator) -> tuple[np.ndarray, int]:
-    """The root's predictive probabilities, its customers seated anew, all dishes side by side; and its tables."""
+def seat_root(customers: np.ndarray, law: tuple[float, float], rng: np.random.Generator,
+              seats: dict[int, list[int]] | None = None) -> tuple[np.ndarray, int]:
+    """The root's predictive probabilities after a Gibbs sweep over all its customers; and its tables.
+
+    ``seats``, the runs by dish, is kept between calls: customers that are gone leave from the end, those that came are
+    seated after the others.
+    """
     d, theta = law
     base = 1 / len(customers)
-    t, j, most = (customers > 0).astype(np.int64), 1, int(customers.max(initial=0))
-    while j < most:
-        block = 1 if j < 64 else max(1, j // 8)
-        left = np.minimum(block, customers - j)
-        on = left > 0
-        new = (theta + d * t.sum()) * base
-        t[on] += rng.binomial(left[on], new / (new + j - d * t[on]))
-        j += block
-    p = (customers - d * t + (theta + d * t.sum()) * base) / (theta + customers.sum())
-    return p, int(t.sum())
+    seats, draws = {} if seats is None else seats, _draws(rng)
+    for w in [w for w in seats if not customers[w]]:
+        del seats[w]
+    tables = sum(map(len, seats.values()))
+    for w in np.flatnonzero(customers).tolist():
+        n, s = int(customers[w]), seats.get(w, [])
+        tables -= len(s)
+        while sum(s) > n:
+            s[-1] -= min(s[-1], sum(s) - n)
+            if not s[-1]:
+                s.pop()
+        seats[w] = _runs(n, base, tables, law, draws, s)
+        tables += len(seats[w])
+    tables = reseat(list(seats), list(seats.values()), tables, [base] * len(customers), law, rng)
+    t = np.zeros(len(customers), np.int64)
+    t[list(seats)] = [len(s) for s in seats.values()]
+    p = (customers - d * t + (theta + d * tables) * base) / (theta + customers.sum())
+    return p, tables
 
 
 @dataclass
@@ -333,10 +326,9 @@ def _restaurants(counted: DataFrame, shared_ones, root: np.ndarray) -> DataFrame
         n = np.concatenate([np.frombuffer(x, "<i8") for _, x in rows])
         order = np.argsort(w)
         w, n, u = w[order], n[order], key[0].as_py()
-        rng, tables, sizes = np.random.default_rng([SEED, 0, u]), int(ones[u]), []
+        draws, tables, sizes = _draws(np.random.default_rng([SEED, 0, u])), int(ones[u]), []
         for dish, c in zip(w.tolist(), n.tolist(), strict=True):
-            # A few customers start at one table, as the sweeps reseat them all.
-            sizes.append(seated(c, float(p0[dish]), tables, CONTEXT, rng) if c > 8 else [c])
+            sizes.append(_runs(c, float(p0[dish]), tables, CONTEXT, draws))
             tables += len(sizes[-1])
         yield _restaurant(u, tables, w, sizes, np.zeros(len(w)))
 
@@ -417,13 +409,13 @@ def fit(counted: DataFrame, words: Words) -> tuple[Model, DataFrame]:
     """The model, and the restaurants with each listed pair's mean of customers less discounts."""
     spark, size = counted.sparkSession, len(words.counts)
     ones_u, ones_w = _ones(counted, size)
-    rng = np.random.default_rng([SEED])
-    root, _ = seat_root(ones_w + 1, ROOT, rng)
+    rng, seats = np.random.default_rng([SEED]), {}
+    root, _ = seat_root(ones_w + 1, ROOT, rng, seats)
     shared = spark.sparkContext.broadcast((ones_u, root))
     state = stage_table(_restaurants(counted, shared, root), "restaurants")
     back_off, roots = [], []
     for sweep in range(1, SWEEPS + 1):
-        root, _ = seat_root(_sent_up(state, size) + ones_w, ROOT, rng)
+        root, _ = seat_root(_sent_up(state, size) + ones_w, ROOT, rng, seats)
         keep = sweep > SWEEPS - KEPT
         state = _swept(state, root, sweep, keep)
         if keep:
@@ -432,7 +424,7 @@ def fit(counted: DataFrame, words: Words) -> tuple[Model, DataFrame]:
             listed = _vector(state.select("u", F.lit(1).cast("long").alias("t")), "u", "t", size)
             tables -= ones_u * listed
             back_off.append((CONTEXT[1] + CONTEXT[0] * tables) / (CONTEXT[1] + words.counts))
-            roots.append(seat_root(_sent_up(state, size) + ones_w, ROOT, rng)[0])
+            roots.append(seat_root(_sent_up(state, size) + ones_w, ROOT, rng, seats)[0])
     return Model(np.array(back_off), np.array(roots), words.counts), state
 
 

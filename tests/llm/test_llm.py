@@ -133,6 +133,43 @@ def test_pitman_yor_predictions_sum_to_one():
         assert abs(total - 1) < 1e-9
 
 
+@pytest.mark.parametrize("n, p, others", [(12, .3, 3), (300, .02, 40), (2000, .3, 5)])
+def test_pitman_yor_sweeps_reseat_every_customer(n, p, others):
+    (d, theta), r = pitman_yor.CONTEXT, np.random.default_rng(1)
+    most, log = min(n, 700), np.full(min(n, 700) + 1, -np.inf)  # of t tables: the generalised Stirling numbers
+    log[1], t = 0.0, np.arange(min(n, 700) + 1)
+    for c in range(1, n):
+        with np.errstate(divide="ignore"):
+            stay = log + np.log(np.maximum(c - d * t, 0))
+        log = np.logaddexp(stay, np.concatenate([[-np.inf], log[:-1]]))
+    log += np.concatenate([[0], np.cumsum(np.log((theta + d * (others + np.arange(most))) * p))])
+    want = np.exp(log - log.max())
+    want /= want.sum()
+    mean, sd = (want * t).sum(), math.sqrt((want * t ** 2).sum() - (want * t).sum() ** 2)
+    sizes, got = [[n]], []
+    for _ in range(3000):
+        tables = pitman_yor.reseat([0], sizes, others + len(sizes[0]), [p], (d, theta), r)
+        assert sum(sizes[0]) == n and tables == others + len(sizes[0])
+        got.append(len(sizes[0]))
+    assert abs(np.mean(got[3:]) - mean) < .15 * sd and abs(np.std(got[3:]) / sd - 1) < .15
+    # From a single table, three sweeps come near the law of the tables.
+    starts = []
+    for _ in range(60):
+        sizes = [[n]]
+        for _ in range(3):
+            pitman_yor.reseat([0], sizes, others + len(sizes[0]), [p], (d, theta), r)
+        starts.append(len(sizes[0]))
+    assert abs(np.mean(starts) - mean) < sd
+
+
+def test_pitman_yor_root_is_swept_from_its_last_seating():
+    r, seats = np.random.default_rng(2), {}
+    for customers in (np.array([5, 0, 900, 3]), np.array([0, 2, 700, 9]), np.array([1, 2, 1500, 9])):
+        p, tables = pitman_yor.seat_root(customers, pitman_yor.ROOT, r, seats)
+        assert abs(p.sum() - 1) < 1e-12 and tables == sum(map(len, seats.values()))
+        assert {w: sum(s) for w, s in seats.items()} == {w: n for w, n in enumerate(customers.tolist()) if n}
+
+
 def test_language_id_learns_and_handles_awkward_texts(spark, docs):
     r, rows = random.Random(3), []
     en, de = "the and with this that from house".split(), "der und mit das nicht haus strasse".split()
