@@ -65,16 +65,13 @@ def latest_values(df: DataFrame, keys: list[str], order_col: str, value_col: str
 
 
 def latest_rows_distinct(df: DataFrame, keys: list[str], order_col: str, cols: list[str]) -> DataFrame:
-    """DISTINCT ``keys`` + ``cols`` of the rows at the latest ``order_col`` per key, in one pass.
+    """DISTINCT ``keys`` + ``cols`` of the rows at the latest ``order_col`` per key.
 
-    Per key and position the distinct values are gathered, then the last
-    position's are kept.  For entity-like reports, which hold a handful of
-    distinct rows per key and load.
+    Distinct rows joined with the maximum per key: both combine map-side, and
+    AQE can split the join at a hot key, however many distinct rows it holds.
     """
-    return (df.where(_not_null([*keys, order_col]))
-              .groupBy(*keys, order_col).agg(F.collect_set(F.struct(*cols)).alias("__rows"))
-              .groupBy(*keys).agg(F.max_by("__rows", order_col).alias("__rows"))
-              .select(*keys, F.inline("__rows")))
+    rows = df.select(*keys, order_col, *[c for c in cols if c not in (*keys, order_col)]).distinct()
+    return latest_snapshot(rows, keys, order_col).select(*keys, *cols).distinct()
 
 
 def with_multiplicity(df: DataFrame, keys: list[str], count_col: str = "__n") -> DataFrame:

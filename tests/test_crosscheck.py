@@ -30,6 +30,14 @@ def test_snapshot_join_form_equals_window_form(spark):
     assert bag(a) == bag(b)
 
 
+def test_latest_distinct_rows_gather_no_group(spark):
+    from adledger.operators.snapshot import latest_rows_distinct
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "y"), ("a", 2, None), (None, 3, "z"), ("b", None, "u"), ("b", 1, "v")]
+    out = latest_rows_distinct(spark.createDataFrame(rows, "k string, t int, v string"), ["k"], "t", ["v"])
+    assert sorted(map(tuple, out.collect()), key=repr) == [("a", "y"), ("a", None), ("b", "v")]
+    assert "collect_" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_snapshot_on_fine_rows_keeps_the_raw_rows_kept(spark):
     """Pre-aggregating before the snapshot pick keeps exactly the reference's rows."""
     r = seeded_reports(spark, SF)
