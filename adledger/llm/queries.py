@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from adledger.llm import bitsliced, bpe, decontaminate, langid, licenses, linededup, pitman_yor, pseudonyms, simhash, training_order
+from adledger.llm import (bitsliced, bpe, conversations, decontaminate, langid, licenses, linededup, pitman_yor, pseudonyms, simhash,
+                          tokencounts, training_order, vectorcodes)
 
 
 def _read(spark, sf_dir, table):
@@ -49,4 +50,19 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bit_sliced_top_k, op2_pitman_yor, op3_language_id, op4_license_scan, op5_decontaminate, op6_simhash_dedup, op7_training_order, op8_line_dedup, op9_pseudonyms, op10_byte_bpe)}
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.digest(_read(spark, sf_dir, "conversations"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return tokencounts.digest(_read(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    return vectorcodes.digest(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bit_sliced_top_k, op2_pitman_yor, op3_language_id, op4_license_scan, op5_decontaminate, op6_simhash_dedup,
+    op7_training_order, op8_line_dedup, op9_pseudonyms, op10_byte_bpe, op11_conversation_repair, op12_token_counts,
+    op13_vector_codes)}
