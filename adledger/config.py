@@ -10,7 +10,7 @@ by the data: turning it into a DataFrame and broadcasting it is safe.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,8 @@ class SiteConfig:
     adset_like: str | None = None          # extra LIKE filter on the social ad-set name
     social_account_id: str | None = None   # social account id (text) owned by the site
     account_name: str | None = None        # name the social account id is reported as
+    # Network -> where the site's reports of it lie: a folder, or a pattern with {report} (sources.locations).
+    sources: dict[str, str] = field(default_factory=dict, compare=False)
 
 
 def load_sites(path: str) -> list[SiteConfig]:

@@ -11,19 +11,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adledger import schemas
-from adledger.config import TEST_SITES
+from adledger.config import TEST_SITES, sites_where, sites_with
 from adledger.functions import ad_description, micros_to_units
 from adledger.operators import partner, rollup, search, social
 from adledger.operators.snapshot import latest_snapshot
 from adledger.plans import ppc, views
 from adledger.plans import social as social_plan
 from adledger.session import apply_defaults, scratch_path, stage_table
-from adledger.sources import sinks
+from adledger.sources import locations, sinks, versions
 from adledger.sources.reports import for_network
 from adledger.sources.testdata import Reports, seeded_reports
 
@@ -60,6 +61,21 @@ def scan_ad_report(spark, sf_dir):
     return _google(r.google_ads)
 
 
+def scan_site_sources(spark, sf_dir):
+    """O-SCAN with a folder of its own for each site: two layouts, one without a third headline and with other types."""
+    root = scratch_path(spark, "site-sources")
+    ads, short = _google(_reports(spark, sf_dir).google_ads), sites_where(CONFIG, "has_headline3", False)
+    drifted = (ads.where(F.col("site").isin(short)).drop("expandedtextadheadline3")
+               .withColumn("clicks", F.col("clicks").cast("int")).withColumnRenamed("campaign", "Campaign")
+               .withColumn("impressions__double", F.col("impressions").cast("double"))
+               .withColumn("impressions", F.lit(None).cast("long")))
+    drifted.write.partitionBy("site").parquet(f"{root}/short/google_ads")
+    ads.where(~F.col("site").isin(short)).write.partitionBy("site").parquet(f"{root}/full/google_ads")
+    config = [replace(c, sources={"google": f"{root}/{'short' if c.site in short else 'full'}/{{report}}/site={c.site}"})
+              for c in CONFIG]
+    return locations.read_site_report(spark, config, "google_ads")
+
+
 def site_network_filter(spark, sf_dir):
     r = _reports(spark, sf_dir)
     return _bing(r.bing_ads).select("site", "campaignid", "adgroupid", "adid", "timeperiod",
@@ -393,6 +409,15 @@ def publish_roundtrip(spark, sf_dir):
     return back.select("site", *schemas.CREATIVE_COLUMNS)
 
 
+def publish_versions(spark, sf_dir):
+    """O-PUBLISH by commits: all sites, then a second commit that replaces one site and empties another."""
+    path = scratch_path(spark, "publish-versions")
+    ds = stage_table(display_keywords_daily(spark, sf_dir), "publish-versions")
+    versions.publish_version(ds, path, sites_with(CONFIG, "google"), unique_by=["site", *schemas.KEYWORD_KEYS])
+    versions.publish_version(ds.where("site = 'ASIA' and clicks > 3"), path, ["ASIA", "EUROPE"])
+    return versions.read_version(spark, path)
+
+
 def csv_export_roundtrip(spark, sf_dir):
     """O-EXPORT: unload the keywords dataset as header-less CSV per site, read it back."""
     path = scratch_path(spark, "export")
@@ -406,6 +431,7 @@ def csv_export_roundtrip(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_ad_report": scan_ad_report,
+    "scan_site_sources": scan_site_sources,
     "site_network_filter": site_network_filter,
     "normalize_google_ads": normalize_google_ads,
     "normalize_google_keywords": normalize_google_keywords,
@@ -455,5 +481,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_all_ppc_creatives": view_all_ppc_creatives,
     "view_all_ppc_keywords": view_all_ppc_keywords,
     "publish_roundtrip": publish_roundtrip,
+    "publish_versions": publish_versions,
     "csv_export_roundtrip": csv_export_roundtrip,
 }

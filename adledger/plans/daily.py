@@ -1,9 +1,11 @@
 """The daily refresh as one Spark job: every dataset for every site.
 
 Builds the shared stages once (the picked rows of each search report, and the
-campaign budgets for both), publishes the five datasets partitioned by site
-under ``out_root``, then the five union views over them, and releases the
-staging tables.  A failed or partial run can simply be re-run.  ``r`` is a ``sources.reports.RawReports``
+campaign budgets for both), publishes the five datasets laid out by site and
+day under ``out_root``, then the five union views over them, and releases the
+staging tables.  Every dataset and view changes by one commit
+(``sources.versions``): readers see yesterday's rows or today's, and a failed or
+partial run can simply be re-run.  ``r`` is a ``sources.reports.RawReports``
 (``read_reports``) or the seeded-table ``sources.testdata.Reports``.
 """
 
@@ -15,9 +17,9 @@ from pyspark.sql import DataFrame
 
 from adledger.config import SiteConfig
 from adledger.plans import ppc, social, views
-from adledger.session import release_all, stage_table
+from adledger.session import stage_table, staging
 from adledger.sources.reports import RawReports
-from adledger.sources.sinks import publish, read_published
+from adledger.sources.versions import publish_version
 
 DATASETS = ("ppc_creatives", "display_creatives", "ppc_keywords", "display_keywords",
             "social_ads")
@@ -48,17 +50,19 @@ def build_all(r: RawReports, config: list[SiteConfig], as_of: dt.date | str | No
 
 def run_daily(r: RawReports, config: list[SiteConfig], out_root: str,
               as_of: dt.date | str | None = None) -> dict[str, str]:
-    """Publish every dataset and view under ``out_root``; return name -> path."""
-    sites, paths, built = [c.site for c in config], {}, {}
-    try:
+    """Publish every dataset and view under ``out_root``; return name -> folder of the rows just published.
+
+    Readers go through ``versions.read_version`` (datasets and view copies) or
+    ``views.published_views``, which follow the last commit.
+    """
+    sites, root, paths = [c.site for c in config], out_root.rstrip("/"), {}
+    with staging():
         datasets, _ = build_all(r, config, as_of)
         for name, df in datasets.items():
-            paths[name] = f"{out_root.rstrip('/')}/{name}"
-            publish(df, paths[name], sites=sites)
-            built[name] = read_published(df.sparkSession, paths[name])
-        for name, df in views.union_views(**built).items():
-            paths[name] = f"{out_root.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(paths[name])   # views have no site column
-    finally:
-        release_all()
+            done = publish_version(df, f"{root}/{name}", sites=sites, unique_by=["site", *views.UNIQUE_BY[name]])
+            paths[name] = f"{root}/{name}/{done.folder}"
+        spark = df.sparkSession
+        for name, df in views.published_views(spark, root).items():
+            done = publish_version(df, f"{root}/{name}", by_site=False)   # views have no site column
+            paths[name] = f"{root}/{name}/{done.folder}"
     return paths

@@ -9,10 +9,11 @@ and keep the two sources apart the same way (T9).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from adledger import schemas
 from adledger.operators.rollup import view_rollup
+from adledger.sources import versions
 
 
 def _creatives(ds: DataFrame) -> DataFrame:
@@ -72,3 +73,42 @@ def register_views(*datasets: DataFrame) -> dict[str, DataFrame]:
     for name, df in built.items():
         df.createOrReplaceTempView(name)
     return built
+
+
+# Dataset -> the keys that its roll-up groups by beside the site: no two published rows share them.
+UNIQUE_BY = {"ppc_creatives": schemas.CREATIVE_KEYS, "display_creatives": schemas.CREATIVE_KEYS,
+             "ppc_keywords": schemas.KEYWORD_KEYS, "display_keywords": schemas.KEYWORD_KEYS,
+             "social_ads": schemas.SOCIAL_KEYS}
+_COLUMNS = {"ppc_creatives": schemas.CREATIVE_COLUMNS, "display_creatives": schemas.CREATIVE_COLUMNS,
+            "ppc_keywords": schemas.KEYWORD_COLUMNS, "display_keywords": schemas.KEYWORD_COLUMNS,
+            "social_ads": schemas.SOCIAL_COLUMNS}
+# View -> the datasets whose branches it unites.
+VIEWS = {"view_ppc_creatives": ("ppc_creatives",), "view_ppc_keywords": ("ppc_keywords",), "view_social": ("social_ads",),
+         "view_all_ppc_creatives": ("ppc_creatives", "display_creatives"),
+         "view_all_ppc_keywords": ("ppc_keywords", "display_keywords")}
+
+
+def _published_branch(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A view's branch over the published dataset.
+
+    The view sums rows that share site and keys.  Where the commit records that
+    none do, every sum is over one row: the branch is a projection of the scan.
+    """
+    path = f"{root.rstrip('/')}/{name}"
+    rows, keys = versions.read_version(spark, path), ["site", *UNIQUE_BY[name]]
+    recorded = versions.current(spark, path).unique_by
+    if recorded and set(recorded) <= set(keys):
+        return rows.select(*_COLUMNS[name])
+    roll = {"social_ads": view_social}.get(name, _keywords if name.endswith("keywords") else _creatives)
+    return roll(rows)
+
+
+def published_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The five union views over the datasets published under ``root`` (their last commits)."""
+    out = {}
+    for view, names in VIEWS.items():
+        first, *rest = [_published_branch(spark, root, n) for n in names]
+        for branch in rest:
+            first = first.unionByName(branch)
+        out[view] = first
+    return out

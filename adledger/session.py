@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,16 +98,45 @@ def drop_staged(df: DataFrame) -> None:
         delete_folder(df.sparkSession, _STAGED.pop(id(df))[1])
 
 
+@contextmanager
+def staging() -> Iterator[None]:
+    """A scope of staging: what is staged inside is dropped at its end, also after a failure; nothing else is.
+
+    ``with staging(): build(...).write...`` leaves no staged table behind.
+    Scopes nest.  One scope a process at a time holds, as for the session itself.
+    """
+    before = set(_STAGED)
+    try:
+        yield
+    finally:
+        for key in [k for k in _STAGED if k not in before]:
+            drop_staged(_STAGED[key][0])
+
+
 def release_all() -> None:
     """Drop every staged table: after queries whose results have been written or collected."""
     for df, _ in list(_STAGED.values()):
         drop_staged(df)
 
 
-def delete_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a folder on whatever storage it is.
-
-    PySpark has no public call for this, so it goes through Hadoop's file system.
-    """
+def _file_system(spark: SparkSession, folder: str):
+    """Hadoop's file system of a folder, and its path there: PySpark has no public call to move or delete folders."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever storage it is."""
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``; where there is no source, an empty folder."""
+    fs, to = _file_system(spark, target)
+    _, src = _file_system(spark, source)
+    fs.delete(to, True)
+    if not fs.exists(src):
+        fs.mkdirs(to)
+    elif not fs.rename(src, to):
+        raise OSError(f"{source} could not be moved to {target}")

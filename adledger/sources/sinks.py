@@ -4,11 +4,12 @@ Datasets are written as Parquet partitioned by ``site``; refreshing some sites
 replaces just their partitions, also where a site's result is now empty.  The
 CSV export writes one directory per site, without header, as the reference's
 unload does.  Both go to shared storage; nothing is written to a machine-local
-folder.
+folder.  ``sources.versions`` publishes with a one-step commit.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from urllib.parse import quote
 
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from adledger.session import delete_folder
+from adledger.session import delete_folder, replace_folder
+from adledger.sources.versions import folder_name
 
 
 def publish(df: DataFrame, path: str, partition_by: str = "site", sites: list[str] | None = None) -> None:
@@ -33,13 +35,7 @@ def publish(df: DataFrame, path: str, partition_by: str = "site", sites: list[st
          .parquet(path))
     if sites:
         for site in sorted(set(sites) - set(seen.get["written"])):
-            delete_folder(df.sparkSession, f"{path}/{partition_by}={_partition_name(site)}")
-
-
-def _partition_name(value: str) -> str:
-    """A partition value as the writer escapes it in a folder name."""
-    special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(1, 32)}
-    return "".join(f"%{ord(c):02X}" if c in special else c for c in value)
+            delete_folder(df.sparkSession, f"{path}/{partition_by}={folder_name(site)}")
 
 
 def read_published(spark: SparkSession, path: str, partition_by: str = "site") -> DataFrame:
@@ -55,8 +51,8 @@ CSV_OPTIONS = {"header": "false", "nullValue": CSV_NULL, "emptyValue": "", "quot
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def _texts(df: DataFrame, change) -> DataFrame:
-    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
+def _texts(df: DataFrame, change, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType) and f.name not in keep
                        else F.col(f"`{f.name}`") for f in df.schema])
 
 
@@ -75,12 +71,17 @@ def _folder(path: str, site: str) -> str:
 def export_csv(df: DataFrame, path: str, sites: list[str]) -> None:
     """Unload each of ``sites`` (the configured ones) as header-less CSV into ``path/<site>``.
 
-    Other sites' directories stay as they are; a site without rows gets an
-    empty one.  ``path`` names the dataset's family, such as ``.../keywords``.
+    One job writes all sites, each row once, beside the directories; then each
+    site's directory is replaced by a rename.  Other sites' directories stay as
+    they are; a site without rows gets an empty one.  ``path`` names the
+    dataset's family, such as ``.../keywords``.
     """
+    spark, aside = df.sparkSession, f"{path.rstrip('/')}/_unload-{uuid.uuid4().hex}"
+    rows = _texts(df.where(F.col("site").isin(list(sites))), _guarded, keep=("site",))
+    rows.hint("rebalance", "site").write.options(**CSV_OPTIONS, quoteAll="true").partitionBy("site").csv(aside)
     for site in sites:
-        rows = df.where(F.col("site") == site).drop("site")
-        _texts(rows, _guarded).write.mode("overwrite").options(**CSV_OPTIONS, quoteAll="true").csv(_folder(path, site))
+        replace_folder(spark, f"{aside}/site={folder_name(site)}", _folder(path, site))
+    delete_folder(spark, aside)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: StructType, sites: list[str]) -> DataFrame:

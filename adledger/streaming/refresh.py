@@ -31,21 +31,23 @@ from adledger.sources.sinks import publish
 def refresh_on_new_loads(spark: SparkSession, source_path: str, schema: StructType,
                          build: Callable[[list[str]], DataFrame], target_path: str,
                          checkpoint_location: str | None = None,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, sites: list[str] | None = None,
+                         publisher: Callable[..., object] = publish) -> StreamingQuery:
     """Republish the sites whose raw report received new loads.
 
     ``build(sites)`` returns the dataset (with a ``site`` column) for those
-    sites, computed from the full raw tables.  The set of sites in a batch is
-    bounded by the site configuration, so it is the only thing that reaches
-    the driver.
+    sites, computed from the full raw tables.  Given ``sites`` (the configured
+    ones), loads of others are passed over, and no more than these names reach
+    the driver.  ``publisher=versions.publish_version`` changes the sites in one
+    step.
     """
     checkpoint_location = checkpoint_location or scratch_path(spark, "refresh-checkpoint")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        sites = sorted(r["site"] for r in batch.select("site").distinct().collect()
-                       if r["site"] is not None)
-        if sites:
-            publish(build(sites).where(F.col("site").isin(sites)), target_path, sites=sites)
+        known = F.col("site").isNotNull() if sites is None else F.col("site").isin(sites)
+        loaded = sorted(r["site"] for r in batch.where(known).select("site").distinct().collect())
+        if loaded:
+            publisher(build(loaded).where(F.col("site").isin(loaded)), target_path, sites=loaded)
 
     stream = spark.readStream.schema(schema).parquet(source_path)
     writer = (stream.writeStream.foreachBatch(on_batch)

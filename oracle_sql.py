@@ -552,6 +552,9 @@ def oracle_queries(config: list[SiteConfig] = TEST_SITES, as_of: str = AS_OF) ->
     q = {
         # --- adapter A: search network ---
         "scan_ad_report": "SELECT * FROM g_ads WHERE site IN " + _in(sites_with(config, "google")),
+        "scan_site_sources": "SELECT * REPLACE (CASE WHEN site NOT IN " + _in(sites_where(config, "has_headline3", False))
+            + " THEN expandedtextadheadline3 END AS expandedtextadheadline3) FROM g_ads WHERE site IN "
+            + _in(sites_with(config, "google")),
         "site_network_filter": """
             SELECT site, campaignid, adgroupid, adid, timeperiod, _sdc_report_datetime,
                    impressions, clicks FROM ba""",
@@ -688,6 +691,8 @@ def oracle_queries(config: list[SiteConfig] = TEST_SITES, as_of: str = AS_OF) ->
         "view_all_ppc_keywords": _view_keywords("keywords_daily") + "\nUNION ALL\n"
                                  + _view_keywords("display_keywords_daily"),
         "publish_roundtrip": "SELECT * FROM creatives_daily",
+        "publish_versions": """SELECT * FROM display_keywords_daily
+            WHERE site <> 'EUROPE' AND (site <> 'ASIA' OR clicks > 3)""",
         "csv_export_roundtrip": "SELECT * FROM keywords_daily",
     }
     return {k: _with(v, config, as_of) for k, v in q.items()}
