@@ -63,6 +63,6 @@ def run_daily(r: RawReports, config: list[SiteConfig], out_root: str,
             paths[name] = f"{root}/{name}/{done.folder}"
         spark = df.sparkSession
         for name, df in views.published_views(spark, root).items():
-            done = publish_version(df, f"{root}/{name}", by_site=False)   # views have no site column
+            done = publish_version(df, f"{root}/{name}", by_site=False, by_day=False)   # views have no site column
             paths[name] = f"{root}/{name}/{done.folder}"
     return paths

@@ -9,6 +9,8 @@ and keep the two sources apart the same way (T9).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from adledger import schemas
@@ -95,9 +97,9 @@ def _published_branch(spark: SparkSession, root: str, name: str) -> DataFrame:
     none do, every sum is over one row: the branch is a projection of the scan.
     """
     path = f"{root.rstrip('/')}/{name}"
-    rows, keys = versions.read_version(spark, path), ["site", *UNIQUE_BY[name]]
-    recorded = versions.current(spark, path).unique_by
-    if recorded and set(recorded) <= set(keys):
+    last, keys = versions.current(spark, path), ["site", *UNIQUE_BY[name]]
+    rows = versions.read_version(spark, path, last)
+    if last.unique_by and set(last.unique_by) <= set(keys):
         return rows.select(*_COLUMNS[name])
     roll = {"social_ads": view_social}.get(name, _keywords if name.endswith("keywords") else _creatives)
     return roll(rows)
@@ -105,10 +107,5 @@ def _published_branch(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def published_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The five union views over the datasets published under ``root`` (their last commits)."""
-    out = {}
-    for view, names in VIEWS.items():
-        first, *rest = [_published_branch(spark, root, n) for n in names]
-        for branch in rest:
-            first = first.unionByName(branch)
-        out[view] = first
-    return out
+    branches = {n: _published_branch(spark, root, n) for n in UNIQUE_BY}
+    return {view: reduce(DataFrame.unionByName, [branches[n] for n in names]) for view, names in VIEWS.items()}

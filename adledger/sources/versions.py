@@ -78,10 +78,11 @@ def _day(schema: T.StructType) -> str | None:
 
 
 def publish_version(df: DataFrame, path: str, sites: list[str] | None = None, by_site: bool = True,
-                    unique_by: list[str] | None = None) -> Version:
+                    by_day: bool = True, unique_by: list[str] | None = None) -> Version:
     """Replace the rows of the sites in ``df``, and of ``sites`` (those without rows are emptied), in one step.
 
-    ``by_site=False`` replaces a dataset without sites (a view) as a whole.
+    ``by_site=False`` replaces a dataset without sites (a view) as a whole;
+    ``by_day=False`` makes no day folders.
     ``unique_by`` records columns that no two rows share, as a roll-up by them has it.
     """
     spark, schema = df.sparkSession, df.schema
@@ -93,7 +94,7 @@ def publish_version(df: DataFrame, path: str, sites: list[str] | None = None, by
     tag = uuid.uuid4().hex
     number = before.version + 1 if before else 1
     folder = Version(number, tag, schema, (), {}).folder
-    day = _day(schema)
+    day = _day(schema) if by_day else None
     rows = df if day != "day" else df.withColumn("day", F.col("date").cast("date"))
     dirs = [c for c in ("site" if by_site else None, day) if c]
     writer = (rows.hint("rebalance", *dirs) if dirs else rows).write.mode("overwrite")
@@ -120,9 +121,10 @@ def _commit(spark: SparkSession, path: str, v: Version) -> None:
         raise RuntimeError(f"another publisher committed version {v.version} of {path} at the same time; publish again")
 
 
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+def read_version(spark: SparkSession, path: str, version: int | Version | None = None) -> DataFrame:
     """The rows of the last commit, or of an earlier one that has not been vacuumed."""
-    v = current(spark, path) if version is None else next((x for x in history(spark, path) if x.version == version), None)
+    v = version if isinstance(version, Version) else current(spark, path) if version is None else next(
+        (x for x in history(spark, path) if x.version == version), None)
     if v is None:
         raise FileNotFoundError(f"{path}: " + ("nothing is published" if version is None else f"no version {version}"))
     if not v.folders:

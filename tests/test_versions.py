@@ -102,7 +102,8 @@ def test_dates_with_a_time_of_day_keep_it(spark):
 
 def test_views_over_published_rows_shuffle_nothing_and_last_in_other_sessions(spark):
     root = scratch_path(spark, "versions-views")
-    paid, shown = (QUERIES[q](spark, SF) for q in ("ppc_creatives_daily", "display_creatives_daily"))
+    paid, shown = (stage_table(QUERIES[q](spark, SF).where("date < '1993-01-01'"), "published")
+                   for q in ("ppc_creatives_daily", "display_creatives_daily"))
     want = bag(views.view_all_ppc_creatives(paid, shown), schemas.CREATIVE_COLUMNS)
     for name, df in (("ppc_creatives", paid), ("display_creatives", shown)):
         versions.publish_version(df, f"{root}/{name}", [c.site for c in TEST_SITES], unique_by=["site", *views.UNIQUE_BY[name]])
