@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adledger.functions import in_rolling_window, platform_tag, to_micros, typed_null
 from adledger.functions.scalars import ROLLING_DAYS
+from adledger.operators.joins import salted_left_join
 from adledger.operators.snapshot import latest_snapshot, latest_values, with_multiplicity
 
 TS = "_sdc_report_datetime"
@@ -72,6 +73,31 @@ def in_window(report: DataFrame, as_of: dt.date | str | None,
     return report.where(in_rolling_window("timeperiod", as_of, days))
 
 
+def keyword_history(keywords: DataFrame, as_of: dt.date | str | None) -> DataFrame:
+    """One pass over the keyword report for both of its readers.
+
+    Rows of the 31 days are summed by every column that is read of them; of
+    older rows only the match type of the keyword and day is kept, once.  Staged,
+    this feeds the snapshot pick (maxima and rows) and the match types.
+    """
+    inside = F.coalesce(in_rolling_window("timeperiod", as_of, ROLLING_DAYS), F.lit(False))
+    wide = [k for k in KW_KEYS if k not in (*MATCH_KEYS, "timeperiod")]
+    rows = (keywords.where(inside | (F.col("bidmatchtype") != ""))
+                    .select(*MATCH_KEYS, "timeperiod", "bidmatchtype", inside.alias("inside"),
+                            *[F.when(inside, F.col(c)).alias(c) for c in wide],
+                            *[F.when(inside, F.col(c)).alias(c) for c in ("impressions", "clicks")],
+                            F.when(inside, to_micros("spend")).alias("cost_micros")))
+    return (rows.groupBy(*MATCH_KEYS, "timeperiod", "bidmatchtype", "inside", *wide)
+                .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")]))
+
+
+def history_with_budget(history: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """``keywords_with_budget`` from the staged history."""
+    picked = latest_snapshot(history.where("inside"), SNAP_KEYS, TS)
+    latest = picked.groupBy(*KW_KEYS).agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")])
+    return _with_budget(latest, campaigns)
+
+
 def latest_match_types(keywords: DataFrame) -> DataFrame:
     """O-LATESTVAL: non-empty match types at the latest day per (campaign, ad group, keyword)."""
     return latest_values(keywords, MATCH_KEYS, "timeperiod", "bidmatchtype",
@@ -80,7 +106,10 @@ def latest_match_types(keywords: DataFrame) -> DataFrame:
 
 def keywords_with_budget(keywords: DataFrame, campaigns: DataFrame,
                          as_of: dt.date | str | None) -> DataFrame:
-    latest = latest_day_rows(in_window(keywords, as_of), KW_KEYS)
+    return _with_budget(latest_day_rows(in_window(keywords, as_of), KW_KEYS), campaigns)
+
+
+def _with_budget(latest: DataFrame, campaigns: DataFrame) -> DataFrame:
     j = latest.join(daily_budgets(campaigns), ["site", "campaignid"], "inner")
     others = [c for c in KW_KEYS if c != TS]
     return j.select(*others, *_scaled(j, F.col("__n")), "budget")
@@ -96,7 +125,7 @@ def attach_match_type(kw: DataFrame, match_types: DataFrame,
     keys = ["site", *match_keys]
     mt = with_multiplicity(match_types.select(*keys, "bidmatchtype"),
                            [*keys, "bidmatchtype"], "__m")
-    j = kw.join(mt, keys, "left")
+    j = salted_left_join(kw, mt, keys, ["campaignid", "adgroupid", "timeperiod"])
     factor = F.coalesce(F.col("__m"), F.lit(1))
     others = [c for c in kw.columns if c not in ("impressions", "clicks", "cost_micros")]
     return j.select(*others, "bidmatchtype", *_scaled(j, factor))

@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from adledger import schemas
 from adledger.functions import micros_to_units
+from adledger.operators.search import ITEM
+
+
+def _keys(rows: DataFrame, keys: list[str]) -> list[str]:
+    """The roll-up's keys; rows dealt by item (``search.by_item``) also have that, which the ids determine."""
+    return ["site", *keys, *[c for c in rows.columns if c == ITEM]]
 
 
 def _money(micros_col: str, name: str):
@@ -15,7 +21,7 @@ def _money(micros_col: str, name: str):
 
 def daily_creatives(rows: DataFrame) -> DataFrame:
     """Final creative roll-up by site + 18 keys; the day is cast *before* grouping."""
-    keys = ["site"] + schemas.CREATIVE_KEYS
+    keys = _keys(rows, schemas.CREATIVE_KEYS)
     out = (rows.withColumn("date", F.col("date").cast("date"))
                .groupBy(*keys)
                .agg(F.sum("impressions").alias("impressions"),
@@ -27,7 +33,7 @@ def daily_creatives(rows: DataFrame) -> DataFrame:
 
 def daily_keywords(rows: DataFrame) -> DataFrame:
     """Final keyword roll-up by site + 15 keys; MAX of max CPC, scaled after the max."""
-    keys = ["site"] + schemas.KEYWORD_KEYS
+    keys = _keys(rows, schemas.KEYWORD_KEYS)
     out = (rows.withColumn("date", F.col("date").cast("date"))
                .groupBy(*keys)
                .agg(F.sum("impressions").alias("impressions"),

@@ -8,16 +8,20 @@ history is gone before anything wide is shuffled.  The rows picked are then
 aggregated once to the finest key any consumer needs (ad texts, states, day,
 load time); clicks/cost per ad and impressions per click type are
 re-aggregations of those *latest* rows.
+
+The tail (DISTINCT, impressions, budget, DISTINCT, roll-up) has one layout, by
+item: the staged rows and the staged attachments are each dealt by it once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig, sites_where
 from adledger.functions import (ad_description, is_display, micros_to_units, not_display,
                                 platform_tag, typed_null)
+from adledger.operators.joins import salted_left_join
 from adledger.operators.snapshot import latest_rows_distinct, latest_snapshot, with_multiplicity
 
 TS = "_sdc_report_datetime"
@@ -119,7 +123,12 @@ def _ad_select(df: DataFrame) -> DataFrame:
         "site", "account", "customerid", platform_tag("account", PLATFORM).alias("platform"),
         "campaignid", "adgroupid", "adid", "adgroup", "campaign", "clicks", "cost_micros",
         "finalurl", "headline1", "headline2", "expandedtextadheadline3", _description(),
-        "adgroupstate", "campaignstate", "adstate", "day", TS)
+        "adgroupstate", "campaignstate", "adstate", "day", TS, *_layout(df))
+
+
+def _layout(df: DataFrame) -> list[str]:
+    """The layout's key, if the rows are dealt by it."""
+    return [ITEM] if ITEM in df.columns else []
 
 
 def search_ads(latest: DataFrame) -> DataFrame:
@@ -133,7 +142,7 @@ def all_ads_null_campaign(latest: DataFrame, only_display: bool = False) -> Data
     By default there is no campaign filter, as in the reference, whose filter
     is commented out (T9); ``only_display=True`` keeps display campaigns only.
     """
-    keys = [k for k in AD_FINE_KEYS if k != "campaign"]
+    keys = [*_layout(latest), *[k for k in AD_FINE_KEYS if k != "campaign"]]
     if only_display:
         latest = latest.where(is_display("campaign"))
     regrouped = (latest.groupBy(*keys)
@@ -168,12 +177,15 @@ def clicktype_impressions(latest: DataFrame, item_id: str) -> tuple[DataFrame, D
     return split_clicktypes(clicktype_totals(latest, item_id), item_id)
 
 
-def campaign_budget(campaign_report: DataFrame) -> DataFrame:
-    """O-BUDGET: budget rows at the latest load of each campaign (DISTINCT)."""
+def campaign_budget(campaign_report: DataFrame, staged: str | None = None) -> DataFrame:
+    """O-BUDGET: budget rows at the latest load of each campaign (DISTINCT).
+
+    ``staged`` names a staging table of the distinct rows; the report is then read once.
+    """
     cols = ["site", "campaignid", "campaign", "budgetid", "hasrecommendedbudget",
             "budgetperiod", "budget", TS]
     keys = ["site", "campaignid"]
-    latest = latest_rows_distinct(campaign_report, keys, TS, [c for c in cols if c not in (*keys, TS)])
+    latest = latest_rows_distinct(campaign_report, keys, TS, [c for c in cols if c not in (*keys, TS)], staged)
     return latest.select(
         "site", "campaignid", "campaign", "budgetid",
         F.col("hasrecommendedbudget").alias("has_recommended_budget"),
@@ -182,26 +194,69 @@ def campaign_budget(campaign_report: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def attach_impressions_and_budget(items: DataFrame, head: DataFrame, phone: DataFrame,
-                                  budget: DataFrame, item_id: str,
-                                  extra: list[Column] | None = None) -> DataFrame:
-    """O-JOIN-IMP + O-JOIN-BUD + DISTINCT.
+# The layout of the tail: rows of one item lie together.  A struct of the ids, in which nulls are equal.
+ITEM, DAY = "__item", "__day"
+
 
-    Only the budget value of the budget rows reaches the DISTINCT, so the
-    budget side is reduced to distinct (campaign, budget) first: same rows,
-    less fan-out.
+def _item(item_id: str) -> Column:
+    return F.struct("site", F.col("campaignid").alias("campaign"), F.col("adgroupid").alias("adgroup"),
+                    F.col(item_id).alias("item")).alias(ITEM)
+
+
+def by_item(rows: DataFrame, item_id: str) -> DataFrame:
+    """``rows`` dealt by item, a key finer than any hot campaign.
+
+    DISTINCT, the attach join and the roll-up of an item's rows all keep to this
+    layout (``session.apply_defaults``), so it is the one exchange of the rows.
+    """
+    return rows.withColumn(ITEM, _item(item_id)).repartition(ITEM)
+
+
+def attachments(totals: DataFrame, budget: DataFrame, item_id: str) -> DataFrame:
+    """O-CLICKTYPE's values and O-JOIN-BUD's budgets of every (item, day): DISTINCT (item keys, day, impressions, budget).
+
+    Joining headline and then phone totals, each on the four keys and day, and
+    taking the first that is not null gives, for each (item, day): every headline
+    value that is not null; and, where there is no headline row or one is null,
+    every phone value, or null if there is no phone row.  Null keys never match,
+    so they have null impressions, but budgets by campaign.
     """
     keys = ["site", "campaignid", "adgroupid", item_id, "day"]
+    same = Window.partitionBy(*keys)
+    head, phone, value = F.col("head_rows") > 0, F.col("phone_rows") > 0, F.col("head_impressions")
+    seen = totals.select(
+        *keys, "head_impressions", "phone_impressions", head.alias("head"), phone.alias("phone"),
+        F.max(head).over(same).alias("any_head"), F.max(phone).over(same).alias("any_phone"),
+        F.max(head & value.isNull()).over(same).alias("null_head"))
+    matched = _all_known(keys)
+    open_ = matched & (~F.col("any_head") | F.col("null_head"))
+    none = F.array().cast("array<bigint>")
+    values = F.concat(
+        F.when(matched & F.col("head") & value.isNotNull(), F.array(value)).otherwise(none),
+        F.when(open_ & F.col("phone"), F.array("phone_impressions")).otherwise(none),
+        F.when(~matched | (open_ & ~F.col("any_phone")), F.array(F.lit(None).cast("long"))).otherwise(none))
+    given = seen.select(*keys, F.explode(values).alias("impressions")).distinct()
     budgets = budget.select("site", "campaignid", "budget").distinct()
-    joined = (items.join(head, keys, "left")
-                   .join(phone, keys, "left")
-                   .join(budgets, ["site", "campaignid"], "left"))
-    cols = [c for c in items.columns if c != TS]
-    return joined.select(
-        *cols, *(extra or []),
-        F.coalesce("head_impressions", "phone_impressions").alias("impressions"),
-        "budget",
-    ).distinct()
+    return salted_left_join(given, budgets, ["site", "campaignid"], ["adgroupid", item_id, "day"])
+
+
+def _all_known(keys: list[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return known
+
+
+def attach_impressions_and_budget(items: DataFrame, attached: DataFrame, item_id: str) -> DataFrame:
+    """O-JOIN-IMP + O-JOIN-BUD + DISTINCT (T5, T6, T11) of ``items`` dealt ``by_item``.
+
+    One join: ``attachments`` has a row for every (item, day) of the report.
+    """
+    keys = ["site", "campaignid", "adgroupid", item_id, "day"]
+    own = attached.select(_item(item_id), F.struct("day").alias(DAY), "impressions", "budget").repartition(ITEM)
+    joined = items.withColumn(DAY, F.struct("day")).join(own, [ITEM, DAY], "left")
+    cols = [c for c in items.columns if c not in (TS, ITEM, *keys)]
+    return joined.select(ITEM, *keys, *cols, "impressions", "budget").distinct()
 
 
 def campaign_names(campaigns: DataFrame) -> DataFrame:
@@ -228,7 +283,7 @@ def keywords_with_campaign(latest: DataFrame, campaigns: DataFrame,
         (F.col("clicks") * F.col("__n")).alias("clicks"),
         (F.col("cost_micros") * F.col("__n")).alias("cost_micros"),
         "adgroupstate", "campaignstate", "keywordstate", "matchtype", "day", TS,
-        "maxcpc_micros",
+        "maxcpc_micros", *_layout(j),
     )
 
 
@@ -243,7 +298,7 @@ def normalize_ads(final_ads: DataFrame) -> DataFrame:
         F.col("expandedtextadheadline3").alias("headline3"), "description",
         F.col("adgroupstate").alias("adgroup_state"),
         F.col("campaignstate").alias("campaign_state"),
-        F.col("adstate").alias("creative_state"), F.col("day").alias("date"), "budget")
+        F.col("adstate").alias("creative_state"), F.col("day").alias("date"), "budget", *_layout(final_ads))
 
 
 def normalize_keywords(final_kw: DataFrame) -> DataFrame:
@@ -256,4 +311,4 @@ def normalize_keywords(final_kw: DataFrame) -> DataFrame:
         "clicks", "cost_micros", F.col("adgroupstate").alias("adgroup_state"),
         F.col("campaignstate").alias("campaign_state"),
         F.col("keywordstate").alias("keyword_state"), F.col("matchtype").alias("match_type"),
-        F.col("day").alias("date"), F.col("max_cpc_micros"), "budget")
+        F.col("day").alias("date"), F.col("max_cpc_micros"), "budget", *_layout(final_kw))

@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adledger.session import stage_table
+
 
 def _not_null(cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
@@ -54,23 +56,28 @@ def latest_snapshot_window(df: DataFrame, keys: list[str], ts: str) -> DataFrame
 
 
 def latest_values(df: DataFrame, keys: list[str], order_col: str, value_col: str,
-                  keep=None) -> DataFrame:
+                  keep=None, staged: str | None = None) -> DataFrame:
     """O-LATESTVAL: distinct ``value_col`` values at the latest ``order_col`` per key.
 
     ``keep`` is a predicate applied before picking the latest position and again
     to the rows read at it (the reference applies it on both sides).
     """
     base = df if keep is None else df.where(keep)
-    return latest_rows_distinct(base, keys, order_col, [value_col])
+    return latest_rows_distinct(base, keys, order_col, [value_col], staged)
 
 
-def latest_rows_distinct(df: DataFrame, keys: list[str], order_col: str, cols: list[str]) -> DataFrame:
+def latest_rows_distinct(df: DataFrame, keys: list[str], order_col: str, cols: list[str],
+                         staged: str | None = None) -> DataFrame:
     """DISTINCT ``keys`` + ``cols`` of the rows at the latest ``order_col`` per key.
 
     Distinct rows joined with the maximum per key: both combine map-side, and
     AQE can split the join at a hot key, however many distinct rows it holds.
+    With ``staged`` the distinct rows are written once under that name and feed
+    both sides, so ``df`` is read once.
     """
     rows = df.select(*keys, order_col, *[c for c in cols if c not in (*keys, order_col)]).distinct()
+    if staged:
+        rows = stage_table(rows, staged)
     return latest_snapshot(rows, keys, order_col).select(*keys, *cols).distinct()
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from adledger.config import SiteConfig, account_name, adset_patterns
 from adledger.functions import to_micros
 from adledger.operators.snapshot import latest_snapshot
+from adledger.session import stage_table
 
 TS = "_sdc_received_at"
 
@@ -66,8 +67,11 @@ def social_base(insights: DataFrame, campaigns: DataFrame, adsets: DataFrame,
 
 
 def latest_entity_status(entities: DataFrame, id_alias: str, status_alias: str) -> DataFrame:
-    """O-SNAP per entity id + DISTINCT status; ties with different values fan out."""
-    versions = entities.select("site", "id", "effective_status", TS).distinct()
+    """O-SNAP per entity id + DISTINCT status; ties with different values fan out.
+
+    The distinct versions are staged: the entity table is read once.
+    """
+    versions = stage_table(entities.select("site", "id", "effective_status", TS).distinct(), f"{id_alias}-versions")
     return (latest_snapshot(versions, ["site", "id"], TS)
             .select("site", F.col("id").alias(id_alias),
                     F.col("effective_status").alias(status_alias))

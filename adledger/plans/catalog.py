@@ -83,12 +83,12 @@ def site_network_filter(spark, sf_dir):
 
 
 def normalize_google_ads(spark, sf_dir):
-    return ppc.google_creative_rows(_ad_stage(_reports(spark, sf_dir)))
+    return ppc.google_creative_rows(_ad_stage(_reports(spark, sf_dir))).drop(search.ITEM)
 
 
 def normalize_google_keywords(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    return ppc.google_keyword_rows(_kw_stage(r), r.google_campaigns, CONFIG)
+    return ppc.google_keyword_rows(_kw_stage(r), r.google_campaigns, CONFIG).drop(search.ITEM)
 
 
 def platform_tag(spark, sf_dir):
@@ -140,8 +140,8 @@ def keyword_clicks_cost_cpc(spark, sf_dir):
 
 def impressions_attach(spark, sf_dir):
     s = _ad_stage(_reports(spark, sf_dir))
-    return search.attach_impressions_and_budget(search.search_ads(s.latest), s.head, s.phone,
-                                                s.budget, "adid")
+    return search.attach_impressions_and_budget(search.search_ads(search.by_item(s.latest, "adid")), s.attached,
+                                                "adid").drop(search.ITEM)
 
 
 def ad_description_q(spark, sf_dir):

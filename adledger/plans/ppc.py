@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,25 +32,29 @@ class SearchStage:
     """
     latest: DataFrame
     totals: DataFrame
-    head: DataFrame
-    phone: DataFrame
     budget: DataFrame
+    item_id: str
+
+    @cached_property
+    def attached(self) -> DataFrame:
+        """Impressions and budgets of every (item, day), staged when first asked for; all datasets read the same."""
+        return stage_table(search.attachments(self.totals, self.budget, self.item_id), f"search-{self.item_id}-attached")
 
     def release(self) -> None:
         """Delete the staging tables (after the datasets built on them are written)."""
-        for df in (self.latest, self.totals):
+        for df in (self.latest, self.totals, *([self.attached] if "attached" in self.__dict__ else [])):
             drop_staged(df)
 
 
 def _stage(fine: DataFrame, item_id: str, budget: DataFrame) -> SearchStage:
     latest = stage_table(fine, f"search-{item_id}-latest")
     totals = stage_table(search.clicktype_totals(latest, item_id), f"search-{item_id}-clicktypes")
-    return SearchStage(latest, totals, *search.split_clicktypes(totals, item_id), budget)
+    return SearchStage(latest, totals, budget, item_id)
 
 
 def search_budget(campaign_report: DataFrame, config: list[SiteConfig]) -> DataFrame:
     """O-BUDGET for the configured search sites (shared by the ad and keyword stages)."""
-    return search.campaign_budget(for_network(campaign_report, config, "google"))
+    return search.campaign_budget(for_network(campaign_report, config, "google"), staged="campaign-report")
 
 
 def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
@@ -65,9 +70,9 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
 def google_creative_rows(stage: SearchStage, display: bool = False,
                          only_display: bool = False) -> DataFrame:
     """Search network half of P1 (``display=False``) or of P2 (``display=True``)."""
-    items = (search.all_ads_null_campaign(stage.latest, only_display) if display
-             else search.search_ads(stage.latest))
-    final = search.attach_impressions_and_budget(items, stage.head, stage.phone, stage.budget, "adid")
+    rows = search.by_item(stage.latest, "adid")
+    items = search.all_ads_null_campaign(rows, only_display) if display else search.search_ads(rows)
+    final = search.attach_impressions_and_budget(items, stage.attached, "adid")
     return search.normalize_ads(final)
 
 
@@ -82,7 +87,7 @@ def ppc_creatives(google_ads: DataFrame, campaign_report: DataFrame, bing_ads: D
                   stage: SearchStage | None = None) -> DataFrame:
     """Non-display creatives per site and day, search + search partner (O-UNION-NET)."""
     stage = stage or search_ads_stage(google_ads, campaign_report, config)
-    rows = google_creative_rows(stage).unionByName(
+    rows = google_creative_rows(stage).drop(search.ITEM).unionByName(
         bing_creative_rows(bing_ads, bing_campaigns, config))
     return rollup.daily_creatives(rows)
 
@@ -113,22 +118,21 @@ def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame
 
 def google_keyword_rows(stage: SearchStage, campaigns: DataFrame, config: list[SiteConfig],
                         display: bool = False) -> DataFrame:
-    items = (search.keywords_with_campaign(stage.latest, for_network(campaigns, config, "google"),
-                                           display)
+    named = search.keywords_with_campaign(stage.latest, for_network(campaigns, config, "google"), display)
+    items = (search.by_item(named, "keywordid")
              .withColumn("max_cpc_micros", F.coalesce("maxcpc_micros", F.lit(0).cast("long")))
              .drop("maxcpc_micros"))
-    final = search.attach_impressions_and_budget(items, stage.head, stage.phone, stage.budget,
-                                                 "keywordid")
+    final = search.attach_impressions_and_budget(items, stage.attached, "keywordid")
     return search.normalize_keywords(final)
 
 
 def bing_keyword_rows(bing_keywords: DataFrame, bing_campaigns: DataFrame,
                       config: list[SiteConfig], as_of: dt.date | str | None,
                       match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
-    kws = for_network(bing_keywords, config, "bing")
-    rows = partner.keywords_with_budget(kws, for_network(bing_campaigns, config, "bing"), as_of)
+    history = stage_table(partner.keyword_history(for_network(bing_keywords, config, "bing"), as_of), "partner-keywords")
+    rows = partner.history_with_budget(history, for_network(bing_campaigns, config, "bing"))
     return partner.normalize_keywords(
-        partner.attach_match_type(rows, partner.latest_match_types(kws), match_keys))
+        partner.attach_match_type(rows, partner.latest_match_types(history), match_keys))
 
 
 def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaigns: DataFrame,
@@ -141,7 +145,7 @@ def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaig
     ``match_keys`` selects the partner match-type join keys (T13; parity default).
     """
     stage = stage or search_keywords_stage(google_keywords, campaign_report, config)
-    rows = google_keyword_rows(stage, campaigns, config).unionByName(
+    rows = google_keyword_rows(stage, campaigns, config).drop(search.ITEM).unionByName(
         bing_keyword_rows(bing_keywords, bing_campaigns, config, as_of, match_keys))
     return rollup.daily_keywords(rows)
 

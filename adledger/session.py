@@ -35,7 +35,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def apply_defaults(spark: SparkSession) -> None:
     """Pin the settings results and plans depend on: UTC day boundaries, AQE
     (runtime broadcast decisions from measured sizes, partition coalescing) and
-    skew-join splitting.  Shuffle partition counts are left to the cluster."""
+    skew-join splitting.  Shuffle partition counts are left to the cluster.
+    Joins may keep to a layout by some of their keys (``search.by_item``)."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
