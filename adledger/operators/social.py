@@ -13,13 +13,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig, account_name, adset_patterns
 from adledger.functions import to_micros
-from adledger.operators.snapshot import latest_snapshot
-from adledger.session import stage_table
 
 TS = "_sdc_received_at"
 
@@ -69,13 +67,14 @@ def social_base(insights: DataFrame, campaigns: DataFrame, adsets: DataFrame,
 def latest_entity_status(entities: DataFrame, id_alias: str, status_alias: str) -> DataFrame:
     """O-SNAP per entity id + DISTINCT status; ties with different values fan out.
 
-    The distinct versions are staged: the entity table is read once.
+    Each status is first reduced to its last load, map-side: what is left of an
+    entity is a row for each of the few statuses, and the table is read once.
     """
-    versions = stage_table(entities.select("site", "id", "effective_status", TS).distinct(), f"{id_alias}-versions")
-    return (latest_snapshot(versions, ["site", "id"], TS)
-            .select("site", F.col("id").alias(id_alias),
-                    F.col("effective_status").alias(status_alias))
-            .distinct())
+    last = entities.where(F.col("id").isNotNull() & F.col("site").isNotNull()).groupBy("site", "id", "effective_status").agg(
+        F.max(TS).alias(TS))
+    newest = F.max(TS).over(Window.partitionBy("site", "id"))
+    return (last.withColumn("__newest", newest).where(F.col(TS) == F.col("__newest"))
+                .select("site", F.col("id").alias(id_alias), F.col("effective_status").alias(status_alias)))
 
 
 def action_rows(insights: DataFrame) -> DataFrame:

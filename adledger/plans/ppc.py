@@ -8,6 +8,7 @@ per-site jobs.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig
 from adledger.operators import partner, rollup, search
-from adledger.session import drop_staged, stage_table
+from adledger.session import drop_staged, stage_table, together
 from adledger.sources.reports import for_network
 
 
@@ -24,11 +25,12 @@ from adledger.sources.reports import for_network
 class SearchStage:
     """Shared intermediate results of one search network report.
 
-    ``latest`` (the picked rows at the finest key) and ``totals`` (impressions
-    by click type) each have several consumers that need other columns.  Left
-    lazy, every consumer would scan and shuffle the report once more, so both
-    are written as staging tables in the shared checkpoint folder
+    ``latest`` (the picked rows at the finest key) and ``attached`` (impressions
+    and budgets of every item and day) each have several consumers.  Left lazy,
+    every consumer would scan and shuffle the report once more, so both are
+    written as staging tables in the shared checkpoint folder
     (``session.stage_table``).  Only picked rows are staged, not the history.
+    ``totals`` (impressions by click type) are read from ``latest``.
     """
     latest: DataFrame
     totals: DataFrame
@@ -42,14 +44,13 @@ class SearchStage:
 
     def release(self) -> None:
         """Delete the staging tables (after the datasets built on them are written)."""
-        for df in (self.latest, self.totals, *([self.attached] if "attached" in self.__dict__ else [])):
+        for df in (self.latest, *([self.attached] if "attached" in self.__dict__ else [])):
             drop_staged(df)
 
 
-def _stage(fine: DataFrame, item_id: str, budget: DataFrame) -> SearchStage:
-    latest = stage_table(fine, f"search-{item_id}-latest")
-    totals = stage_table(search.clicktype_totals(latest, item_id), f"search-{item_id}-clicktypes")
-    return SearchStage(latest, totals, budget, item_id)
+def _stage(fine: DataFrame, item_id: str, budget: Callable[[], DataFrame]) -> SearchStage:
+    latest, budgets = together(lambda: stage_table(fine, f"search-{item_id}-latest"), budget)
+    return SearchStage(latest, search.clicktype_totals(latest, item_id), budgets, item_id)
 
 
 def search_budget(campaign_report: DataFrame, config: list[SiteConfig]) -> DataFrame:
@@ -63,8 +64,8 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
                      budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P1/P2.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     ads = for_network(google_ads, config, "google")
-    budget = budget if budget is not None else search_budget(campaign_report, config)
-    return _stage(search.ad_fine(search.latest_rows(ads, snapshot_keys), config), "adid", budget)
+    return _stage(search.ad_fine(search.latest_rows(ads, snapshot_keys), config), "adid",
+                  lambda: budget if budget is not None else search_budget(campaign_report, config))
 
 
 def google_creative_rows(stage: SearchStage, display: bool = False,
@@ -112,8 +113,8 @@ def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame
                           budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P3/P4.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     kws = for_network(google_keywords, config, "google")
-    budget = budget if budget is not None else search_budget(campaign_report, config)
-    return _stage(search.keyword_fine(search.latest_rows(kws, snapshot_keys)), "keywordid", budget)
+    return _stage(search.keyword_fine(search.latest_rows(kws, snapshot_keys)), "keywordid",
+                  lambda: budget if budget is not None else search_budget(campaign_report, config))
 
 
 def google_keyword_rows(stage: SearchStage, campaigns: DataFrame, config: list[SiteConfig],
@@ -126,10 +127,15 @@ def google_keyword_rows(stage: SearchStage, campaigns: DataFrame, config: list[S
     return search.normalize_keywords(final)
 
 
+def partner_history(bing_keywords: DataFrame, config: list[SiteConfig], as_of: dt.date | str | None) -> DataFrame:
+    """The partner keyword report reduced for its two readers, staged."""
+    return stage_table(partner.keyword_history(for_network(bing_keywords, config, "bing"), as_of), "partner-keywords")
+
+
 def bing_keyword_rows(bing_keywords: DataFrame, bing_campaigns: DataFrame,
                       config: list[SiteConfig], as_of: dt.date | str | None,
-                      match_keys: tuple[str, ...] = ("keywordid",)) -> DataFrame:
-    history = stage_table(partner.keyword_history(for_network(bing_keywords, config, "bing"), as_of), "partner-keywords")
+                      match_keys: tuple[str, ...] = ("keywordid",), history: DataFrame | None = None) -> DataFrame:
+    history = history if history is not None else partner_history(bing_keywords, config, as_of)
     rows = partner.history_with_budget(history, for_network(bing_campaigns, config, "bing"))
     return partner.normalize_keywords(
         partner.attach_match_type(rows, partner.latest_match_types(history), match_keys))
@@ -144,9 +150,11 @@ def ppc_keywords(google_keywords: DataFrame, campaign_report: DataFrame, campaig
 
     ``match_keys`` selects the partner match-type join keys (T13; parity default).
     """
-    stage = stage or search_keywords_stage(google_keywords, campaign_report, config)
+    given = stage
+    stage, history = together(lambda: given or search_keywords_stage(google_keywords, campaign_report, config),
+                              lambda: partner_history(bing_keywords, config, as_of))
     rows = google_keyword_rows(stage, campaigns, config).drop(search.ITEM).unionByName(
-        bing_keyword_rows(bing_keywords, bing_campaigns, config, as_of, match_keys))
+        bing_keyword_rows(bing_keywords, bing_campaigns, config, as_of, match_keys, history))
     return rollup.daily_keywords(rows)
 
 

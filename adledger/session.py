@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -85,6 +89,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def together(*steps: Callable[[], T]) -> list[T]:
+    """Run steps that stage tables at the same time: Spark shares the executors among their jobs."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 # Staged tables not yet dropped: the DataFrame that reads each, and its folder.
 _STAGED: dict[int, tuple[DataFrame, str]] = {}
 
