@@ -29,6 +29,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import duckdb
 import numpy as np
@@ -37,13 +38,14 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adledger.llm.common import slices
+from adledger.llm.common import slices, with_row
 
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
-BATCH_BYTES, CACHE = 4 << 20, 300_000
+BATCH_BYTES, CACHE = 2 << 20, 200_000
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
 # in the same order, but from a heap.  Decoded in one query: so many tokens.
 LONG_PIECE, DECODED = 256, 1 << 18
@@ -227,17 +229,22 @@ def stretches(text: str) -> list[str]:
     return out
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[tuple[str, int], Codec] = {}
 
 
-def _codec(shared) -> Codec:
-    """The worker's codec: made once for all tasks it runs."""
+@contextmanager
+def _codec(shared) -> Iterator[Codec]:
+    """The worker's codec of this vocabulary, for a task; what it remembers is let go at the task's end."""
     ranks, pattern = shared.value
-    key = hash((pattern, len(ranks), shared.id if hasattr(shared, "id") else 0))
+    key = (pattern, hash(frozenset(ranks.items())))
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(ranks, pattern)
-    return _codecs[key]
+    try:
+        yield _codecs[key]
+    finally:
+        _codecs[key].forget()
+        pa.default_memory_pool().release_unused()
 
 
 def share_vocabulary(spark: SparkSession, path: str | None, pattern: str | None):
@@ -251,14 +258,14 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     shared = share_vocabulary(docs.sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for b in slices(batches, "text", BATCH_BYTES):
-            ids, offsets = codec.encode(b.column("text").to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("row"), lists], ["row", "ids"])
+        with _codec(shared) as codec:
+            for b in slices(batches, "text", BATCH_BYTES):
+                ids, offsets = codec.encode(b.column("text").to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column("row"), lists], ["row", "ids"])
 
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    return src.mapInArrow(run, f"row {src.schema['row'].dataType.simpleString()}, ids array<int>")
+    return src.mapInArrow(run, with_row(src.schema, ("ids", T.ArrayType(T.IntegerType()))))
 
 
 def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -266,18 +273,18 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
     shared = share_vocabulary(rows.sparkSession, path, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                lists = [x or [] for x in part.column("ids").to_pylist()]
-                flat = np.array([t for x in lists for t in x], np.int32)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(codec.decode(flat, offsets), pa.binary())], ["row", "decoded"])
+        with _codec(shared) as codec:
+            for b in batches:
+                for i in range(0, b.num_rows, 1000):
+                    part = b.slice(i, 1000)
+                    lists = [x or [] for x in part.column("ids").to_pylist()]
+                    flat = np.array([t for x in lists for t in x], np.int32)
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("row"), pa.array(codec.decode(flat, offsets), pa.binary())], ["row", "decoded"])
 
     src = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), F.col(ids).alias("ids"))
-    return src.mapInArrow(run, f"row {src.schema['row'].dataType.simpleString()}, decoded binary")
+    return src.mapInArrow(run, with_row(src.schema, ("decoded", T.BinaryType())))
 
 
 def digest(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -285,15 +292,15 @@ def digest(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     shared = share_vocabulary(docs.sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for b in slices(batches, "text", BATCH_BYTES):
-            ids, offsets = codec.encode(b.column("text").to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()).cast("string"))
-            said = [hashlib.sha256(x.encode()).hexdigest() for x in pc.binary_join(lists, " ").to_pylist()]
-            back = [hashlib.sha256(x).hexdigest() for x in codec.decode(ids, offsets)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(said), pa.array(back)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with _codec(shared) as codec:
+            for b in slices(batches, "text", BATCH_BYTES):
+                ids, offsets = codec.encode(b.column("text").to_pylist())
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()).cast("string"))
+                said = [hashlib.sha256(x.encode()).hexdigest() for x in pc.binary_join(lists, " ").to_pylist()]
+                back = [hashlib.sha256(x).hexdigest() for x in codec.decode(ids, offsets)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(said), pa.array(back)],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     src = docs.select("doc_id", "text")
     return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, n_tokens long, "

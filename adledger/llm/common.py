@@ -6,8 +6,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The ASCII white space [\x20\x09-\x0D].
@@ -20,6 +21,21 @@ WORD_BYTES = bytes(
     for c in range(256))
 
 
+# Rows and bytes that go to a Python worker at once: texts of some KB, or a few very long ones.
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Small Arrow batches, on the side of the JVM too: both hold several of them a task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def with_row(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
+    """``row`` of ``schema`` and further fields, whatever the names of the row's columns."""
+    return T.StructType([schema["row"], *[T.StructField(n, t) for n, t in fields]])
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does just that on a text without other letters."""
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

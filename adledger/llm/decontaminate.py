@@ -30,15 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adledger.llm.common import WORD_BYTES, slices, words_of
+from adledger.llm.common import WORD_BYTES, slices, with_row, words_of
 from adledger.session import stage_table
 
 # Production parameter: words of a window.
 WINDOW = 10
 # Bound of the broadcast: windows in one block (about 100 bytes each).
 BLOCK_WINDOWS = 1_000_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,7 +118,8 @@ def _blocks(benchmark: DataFrame, n: int, block: int) -> Iterator[list[tuple[str
         yield [(r["item"], bytes(r["window"])) for r in part.collect()]
 
 
-HITS = "n_words long, starts array<int>, lengths array<int>, items array<string>"
+HITS = (("n_words", T.LongType()), ("starts", T.ArrayType(T.IntegerType())), ("lengths", T.ArrayType(T.IntegerType())),
+        ("items", T.ArrayType(T.StringType())))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:
@@ -136,9 +138,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block: int
         return _scan(docs.select(row, F.col("text").alias("text")), shared)
     if len(scans) == 1:
         return scans[0]
-    # One row per document and block: keyed by the whole row's id and text hash, copies counted.
+    # One row per document and block: keyed by the row's id and a hash of its text, which alone decide its finds.
     tagged = [s.withColumn("block", F.lit(k)) for k, s in enumerate(scans)]
-    key = [F.col("row.doc_id").alias("d"), F.xxhash64("row").alias("h"), F.xxhash64(F.lit(1), "row").alias("h2")]
+    key = [F.col("row.doc_id").alias("d"), F.sha2(F.col("row.text"), 256).alias("h"), F.octet_length("row.text").alias("h2")]
     finds = tagged[0].select(*key, "block", "starts", "lengths", "items")
     for t in tagged[1:]:
         finds = finds.unionByName(t.select(*key, "block", "starts", "lengths", "items"))
@@ -170,8 +172,7 @@ def _scan(rows: DataFrame, shared) -> DataFrame:
                  pa.array(lengths, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))],
                 ["row", "n_words", "starts", "lengths", "items"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"row {kind}, {HITS}")
+    return rows.mapInArrow(scan, with_row(rows.schema, *HITS))
 
 
 def covered(starts: list[int], lengths: list[int]) -> list[tuple[int, int]]:
@@ -218,9 +219,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, drop_s
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.string())],
                                              ["row", "text"]).filter(pa.array(keep))
 
-    kind = hits.schema["row"].dataType.simpleString()
     out = (hits.select("row", F.col("row.text").alias("text"), "n_words", "starts", "lengths")
-               .mapInArrow(cut, f"row {kind}, text string"))
+               .mapInArrow(cut, with_row(hits.schema, ("text", T.StringType()))))
     return out.select(*[(F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 

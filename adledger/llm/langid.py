@@ -38,8 +38,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adledger.llm.common import slices
+from adledger.llm.common import slices, with_row
 
 # Hashed features, longest n-gram, and the languages that a table may hold.
 FEATURES, LONGEST, LANGUAGES = 1 << 16, 4, 500
@@ -55,7 +56,7 @@ SCALE = 8.0
 UNKNOWN = "und"
 # Ranks that the hash of a labelled text has.
 RANKS = 1 << 30
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _find_words = re.compile(r"[^\W\d_]+").findall
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -286,7 +287,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                                               pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    return src.mapInArrow(run, f"row {src.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return src.mapInArrow(run, with_row(src.schema, ("lang_pred", T.StringType()), ("score", T.DoubleType())))
 
 
 def digest(docs: DataFrame) -> DataFrame:

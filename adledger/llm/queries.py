@@ -5,8 +5,11 @@ from __future__ import annotations
 from adledger.llm import (bitsliced, bpe, conversations, decontaminate, langid, licenses, linededup, pitman_yor, pseudonyms, simhash,
                           tokencounts, training_order, vectorcodes)
 
+from adledger.llm.common import bounded_batches
+
 
 def _read(spark, sf_dir, table):
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
