@@ -56,7 +56,8 @@ _BY_COUNTRY = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4
 _OWN = (r"\d{4}-\d{2}-\d{2}(?![\w-])|\d{3}-\d{2}-\d{4}(?![\w-])|\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])|\d{2}/\d{2}/\d{4}(?![\w/])"
         r"|\d{2}\.\d{2}\.\d{4}(?!\w)|\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)|[A-Za-z0-9._%+-]{1,64}+@")
 _CARD_NEXT = r"[ .-]?(?:\d{13}|(?:\d{4}[ -]){3}\d{4}(?!\d)|\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d))"
-# Numbers as cards are usually grouped.
+# Numbers as cards are usually grouped; the longest form is looked for first.
+USUAL_LONG = r"^\d{4} \d{4} \d{4} \d{4} \d{3}(?!\d)"
 USUAL = r"^(?:\d{4} \d{4} \d{4} \d{4}|\d{4} \d{6} \d{4,5}|\d{13,19})(?!\d)"
 
 CANDIDATES = "|".join((
@@ -232,7 +233,7 @@ KINDS: tuple[tuple[str, str, Callable[[Column, str], tuple[Column, Column]]], ..
     ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$", _address),
     ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn),
     ("phone", r"^(?:\+\d{1,3}[ .(-]|\()|^\d{3}[.-]\d{3}[.-]\d{4}$", _phone),
-    ("card", r"^\d(?:[ -]?\d){12,18}$", _card),
+    ("card", r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5})$", _card),
 )
 
 
@@ -261,12 +262,16 @@ def _is_card(digits: Column) -> Column:
 def _cards_within(m: Column, key: str) -> Column:
     """The result for a text in which runs of whole groups that are valid cards are replaced."""
     def usual(groups: Column, i: Column) -> Column:
-        said = F.regexp_extract(F.regexp_replace(F.array_join(F.slice(groups, i + 1, 4), ""), "-", " "), USUAL, 0)
-        return F.when(_is_card(F.regexp_replace(said, " ", "")), F.size(F.split(said, " "))).otherwise(0)
+        near = F.regexp_replace(F.array_join(F.slice(groups, i + 1, 5), ""), "-", " ")
+        size = F.lit(0)
+        for shape in (USUAL, USUAL_LONG):
+            said = F.regexp_extract(near, shape, 0)
+            size = F.when(_is_card(F.regexp_replace(said, " ", "")), F.size(F.split(said, " "))).otherwise(size)
+        return size
 
     def longest(groups: Column, i: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i))
-        return F.coalesce(F.array_max(F.filter(sizes, lambda n: _is_card(_bare(groups, i, n)))), F.lit(0))
+        # Beside the usual groupings only a number in one piece: other runs of groups are tables of numbers.
+        return F.when(_is_card(_bare(groups, i, F.lit(1))), 1).otherwise(0)
 
     def taken(groups: Column, known: Column) -> Column:
         def step(acc: Column, i: Column) -> Column:
