@@ -2,6 +2,14 @@
 
 Each stage works on all rows that the one before it kept and calls one of the
 training-data operators; all but the last return the columns of ``documents``.
+
+Defined cases: a null or empty text, and one without a letter, has no language
+and goes in the first stage.  Rows without a doc_id and repeated rows are rows
+of their own; of repeated texts near dedup keeps one row, the one of the
+smallest doc_id, a null one only where all are null.  A text that line dedup
+empties stays as an empty one.  An empty table, or one in which no language can
+be learned, gives no rows.  Further columns go along to the last stage but one,
+whatever their names and types.
 """
 
 from __future__ import annotations
@@ -10,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adledger.llm import bpe, decontaminate, langid, linededup, simhash
+from adledger.llm.common import bounded_batches
 from adledger.session import stage_table
 
 # Below this calibrated score the language of a document counts as not known.
@@ -18,6 +27,7 @@ MIN_LANG_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known go on; texts without a letter, and texts in no one language, go."""
+    bounded_batches(spark)
     out = langid.predict(docs, langid.fit(docs))
     kept = out.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANG_SCORE))
     return kept.select("row.*")
@@ -53,6 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
+    bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stage_table(stage(spark, docs, sf_dir), name)
