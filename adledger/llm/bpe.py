@@ -8,7 +8,7 @@ word's leftmost pair of minimum rank, until a word has none left.  Decoding
 joins the rows (text, position, id) with the vocabulary and aggregates the
 bytes in the order of positions.
 
-A worker keeps the encodings of pieces it has seen, up to ``CACHE`` of them,
+A task keeps the encodings of pieces it has seen, up to ``CACHE`` of them,
 then starts afresh: memory is bounded, and results don't depend on it.  Most
 texts are words between single spaces.  No match of the pattern crosses from a
 non-space to a following single space, so texts are cut at such places first,
@@ -45,7 +45,7 @@ from adledger.llm.common import slices, with_row
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
-BATCH_BYTES, CACHE = 2 << 20, 200_000
+BATCH_BYTES, CACHE = 2 << 20, 100_000
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
 # in the same order, but from a heap.  Decoded in one query: so many tokens.
 LONG_PIECE, DECODED = 256, 1 << 18
@@ -108,6 +108,11 @@ class Codec:
     def forget(self) -> None:
         self.pieces = Ragged()
 
+    def close(self) -> None:
+        self.con.close()
+        self.forget()
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, and the offsets of each text."""
         if len(self.pieces.at) > CACHE:
@@ -229,22 +234,14 @@ def stretches(text: str) -> list[str]:
     return out
 
 
-_codecs: dict[tuple[str, int], Codec] = {}
-
-
 @contextmanager
 def _codec(shared) -> Iterator[Codec]:
-    """The worker's codec of this vocabulary, for a task; what it remembers is let go at the task's end."""
-    ranks, pattern = shared.value
-    key = (pattern, hash(frozenset(ranks.items())))
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(ranks, pattern)
+    """A codec for one task, closed at its end: workers serve other operators next."""
+    codec = Codec(*shared.value)
     try:
-        yield _codecs[key]
+        yield codec
     finally:
-        _codecs[key].forget()
-        pa.default_memory_pool().release_unused()
+        codec.close()
 
 
 def share_vocabulary(spark: SparkSession, path: str | None, pattern: str | None):
