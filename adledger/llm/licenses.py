@@ -9,7 +9,9 @@ phrases are never suppressed.  All of it is one projection of built-in
 functions: nothing is shuffled and no Python runs.
 
 Defined cases: a null or empty text has no words, no detections and score 0.
-Repeated rows are scanned each on its own.  Other columns are never read.
+Repeated rows are scanned each on its own.  Other columns are never read.  Of
+detections of the same words the one of the higher priority stays.  However
+many detections a text has, each is compared with all before it.
 """
 
 from __future__ import annotations
@@ -193,8 +195,8 @@ def rules() -> list[tuple]:
 
 
 MARK = "\x01"
-# A detection is at most so many words long, and so many may start at one word: the neighbours to compare.
-NEIGHBOURS = 2048
+# Detections are compared one by one within blocks of so many, and by the furthest end of all blocks before.
+BLOCK = 64
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -217,8 +219,8 @@ def scan(docs: DataFrame) -> DataFrame:
     found = F.when(F.size("gates") == 0, F.array().cast(DETECTIONS)).otherwise(F.array_sort(F.flatten(F.transform(
         F.filter(lits, lambda r: F.array_contains(F.col("gates"), r["gate"])), _places)), _before))
     out = out.select("row", "n_words", found.alias("all"))
-    return out.select("row", "n_words", F.when(F.size("all") == 0, F.col("all")).otherwise(F.filter(
-        "all", lambda a, i: a["base"] | ~_inside(a, i))).alias("found"))
+    return out.select("row", "n_words", F.when(F.size("all") == 0, F.col("all")).otherwise(
+        _uncontained(F.col("all"))).alias("found"))
 
 
 DETECTIONS = ("array<struct<start:long,end:long,priority:int,label:string,confidence:double,base:boolean>>")
@@ -242,9 +244,31 @@ def _before(a: Column, b: Column) -> Column:
     return F.when(x < y, -1).when(x > y, 1).otherwise(0)
 
 
-def _inside(a: Column, i: Column) -> Column:
-    near = F.slice(F.col("all"), F.greatest(F.lit(1), i + 1 - NEIGHBOURS), F.least(i, F.lit(NEIGHBOURS)))
-    return F.exists(near, lambda b: (b["end"] >= a["end"]) & (b["start"] <= a["start"]))
+def _uncontained(found: Column) -> Column:
+    """The base detections, and of the others those that no detection before them holds.
+
+    Those before start no later, so one is held just if their furthest end is not
+    before its own.  That running maximum is taken exactly: of all blocks before
+    by their maxima, within the block one by one.  Ends and maxima are bound as
+    one value, lest they be worked out again for each detection.
+    """
+    ends = F.transform(found, lambda d: d["end"])
+    n_blocks = F.ceil(F.size(found) / F.lit(BLOCK)).cast("int")
+    bound = F.transform(F.array(F.struct(found.alias("found"), ends.alias("ends"))), lambda a: F.struct(
+        a["found"].alias("found"), a["ends"].alias("ends"),
+        F.transform(F.sequence(F.lit(0), n_blocks - 1),
+                    lambda k: F.array_max(F.slice(a["ends"], k * BLOCK + 1, F.lit(BLOCK)))).alias("maxima")))
+    bound = F.transform(bound, lambda a: F.struct(
+        a["found"].alias("found"), a["ends"].alias("ends"),
+        F.transform(a["maxima"], lambda _, k: F.array_max(F.slice(a["maxima"], F.lit(1), k))).alias("before")))
+
+    def furthest(a: Column, i: Column) -> Column:
+        k = F.floor(i / F.lit(BLOCK)).cast("int")
+        own = F.array_max(F.slice(a["ends"], k * BLOCK + 1, i - k * BLOCK))
+        return F.coalesce(F.greatest(own, F.get(a["before"], k)), F.lit(-1))
+
+    return F.flatten(F.transform(bound, lambda a: F.filter(
+        a["found"], lambda d, i: d["base"] | (furthest(a, i) < d["end"]))))
 
 
 def digest(docs: DataFrame) -> DataFrame:

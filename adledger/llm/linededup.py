@@ -13,7 +13,8 @@ gathered per key.
 
 Defined cases: a null or empty text is one empty line.  Rows that repeat a
 doc_id count as one document.  Rows without doc_id count as no document, but
-lose shared lines as any other.  An empty table gives an empty result.  Other
+lose shared lines as any other.  An empty table gives an empty result.  A very long
+text, or one that loses all its lines, takes time in proportion to its lines.  Other
 columns of the input, whatever their names, are kept beside ``doc_id`` and
 ``text`` and never read.
 """
@@ -48,6 +49,19 @@ def _hashes(text: Column, min_chars: int) -> Column:
     return F.filter(one, lambda x: x["n"] >= min_chars)
 
 
+def _without(lines: Column, lost: Column) -> Column:
+    """The lines, joined, without those at the positions ``lost``.
+
+    Positions are told apart by hash (``array_except``), so a text takes time in
+    proportion to its lines.  Lines and positions are bound as one value, lest
+    the text be split again for each line.
+    """
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+    both = F.array(F.struct(lines.alias("lines"), left.alias("left")))
+    return F.array_join(F.transform(both, lambda b: F.array_join(
+        F.transform(b["left"], lambda i: F.get(b["lines"], i)), "\n")), "")
+
+
 def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(h1, h2, n_docs) of the keys found in at least ``min_docs`` distinct documents."""
     lines = docs.select(F.col("doc_id").alias("d"), F.inline(_hashes(F.col("text"), min_chars)))
@@ -66,7 +80,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     text = F.coalesce(F.col("text"), F.lit(""))
     key = [F.col("doc_id").alias("d"), F.xxhash64(text).alias("t1"),
            F.xxhash64(F.lit(MIN_DOCS), text).alias("t2")]
-    lines = docs.select(*key, F.inline(_hashes(F.col("text"), min_chars)))
+    # The text's hashes first: beside inline() they would be worked out again for each of its lines.
+    lines = (docs.select(*key, _hashes(F.col("text"), min_chars).alias("lines"))
+                 .select("d", "t1", "t2", F.inline("lines")))
     lost = (lines.join(shared, ["h1", "h2"], "left_semi")
                  .groupBy("d", "t1", "t2").agg(F.collect_set("pos").alias("lost")).alias("l"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key).alias("r")
@@ -74,7 +90,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
                     & (F.col("r.t2") == F.col("l.t2")), "left")
     lines_of = _lines(F.col("row.text"))
     kept = F.when(F.col("lost").isNull(), F.coalesce(F.col("row.text"), F.lit(""))).otherwise(
-        F.array_join(F.filter(lines_of, lambda _, i: ~F.array_contains(F.col("lost"), i)), "\n"))
+        _without(lines_of, F.col("lost")))
     return out.select(F.col("row").withField("text", kept).alias("row"),
                       F.size(lines_of).cast("long").alias("n_lines"),
                       F.when(F.col("lost").isNull(), 0).otherwise(F.size("lost")).cast("long").alias("n_dropped"))

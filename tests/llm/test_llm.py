@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from adledger.llm import (bitsliced, bpe, decontaminate, langid, licenses, linededup, pitman_yor, pseudonyms, simhash,
                           training_order)
@@ -455,3 +457,42 @@ def test_pipeline_stages_equal_the_operators(spark, tmp_path):
     codec = bpe.Codec(bpe.read_ranks(path), pattern)
     assert {r.doc_id: r.ids for r in now.collect()} == {i: codec.encode([t])[0].tolist() for i, t in texts.items()}
     assert len(texts) > 100
+
+
+def test_line_dedup_takes_a_long_text_in_proportion(spark):
+    n = 200_000
+    long = "\n".join("shared" if i % 2 else f"own {i}" for i in range(n))
+    rows = [(0, long), (1, "shared\n" * n + "shared")] + [(i, "shared") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in linededup.dedup_lines(docs).select("row.*", "n_lines", "n_dropped").collect()}
+    assert time.perf_counter() - start < 60
+    assert (got[0].n_lines, got[0].n_dropped) == (n, n // 2)
+    assert got[0].text == "\n".join(f"own {i}" for i in range(0, n, 2))
+    assert (got[1].text, got[1].n_lines, got[1].n_dropped) == ("", n + 1, n + 1)
+    assert (got[5].text, got[5].n_lines, got[5].n_dropped) == ("", 1, 1)
+
+
+def test_license_suppression_equals_comparing_all_detections(spark):
+    rng = np.random.default_rng(5)
+    for n, spread in ((1, 3), (63, 9), (64, 9), (65, 400), (129, 30), (3000, 2000)):
+        start = rng.integers(0, spread, n)
+        found = sorted((int(s), int(s + k), int(p), "x", 0.5, bool(b)) for s, k, p, b in zip(
+            start, rng.integers(1, 40, n), rng.permutation(n), rng.random(n) < .2))
+        found.sort(key=lambda d: (d[0], -d[1], d[2]))
+        if n == 3000:  # one that holds all of the others, of which the last is far behind
+            found.insert(0, (0, 10 ** 6, 0, "x", 0.5, False))
+        df = spark.createDataFrame([(found,)], f"all {licenses.DETECTIONS}")
+        got = [tuple(d) for d in df.select(licenses._uncontained(F.col("all")).alias("kept")).first().kept]
+        ends = np.array([d[1] for d in found])
+        assert got == [d for i, d in enumerate(found) if d[5] or not (ends[:i] >= d[1]).any()]
+
+
+def test_license_scan_of_a_long_text_with_many_detections(spark):
+    text = "licensed under the mit license and cc by; all rights reserved. " * 16_000   # 1 MB
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = licenses.digest(docs).first()
+    assert time.perf_counter() - start < 120
+    assert (got.n_base, got.first_word, got.base_labels) == (32_000, 6, "cc-by,reserved")
+    assert got.last_word == 15_999 * 11 + 8 and "mit" in got.labels.split(",")
