@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adledger.llm.common import slices, with_row
+from adledger.llm.common import give_back, slices, with_row
 
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -111,7 +111,7 @@ class Codec:
     def close(self) -> None:
         self.con.close()
         self.forget()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, and the offsets of each text."""
