@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,14 +41,6 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def give_back() -> None:
-    """Return what a finished task has freed to the system: its worker serves other operators next, whose needs add up."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc's
-    if trim is not None:
-        trim(0)
-
-
 def words_of(text: str | None) -> list[bytes]:
     """The lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text (None: none)."""
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
@@ -58,20 +49,15 @@ def words_of(text: str | None) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``max_bytes`` in each.
 
-    A single longer text stays whole, in a batch of its own.  At the end the
-    task's free memory goes back to the system.
+    A single longer text stays whole, in a batch of its own.
     """
-    try:
-        for batch in batches:
-            start, held = 0, 0
-            sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
-            for i, n in enumerate(sizes):
-                if held and held + n > max_bytes:
-                    yield batch.slice(start, i - start)
-                    start, held = i, 0
-                held += n
-            if start < len(sizes):
-                yield batch.slice(start)
-            del batch
-    finally:
-        give_back()
+    for batch in batches:
+        start, held = 0, 0
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        for i, n in enumerate(sizes):
+            if held and held + n > max_bytes:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < len(sizes):
+            yield batch.slice(start)
