@@ -24,7 +24,7 @@ from adledger.operators.snapshot import latest_snapshot
 from adledger.plans import ppc, views
 from adledger.plans import social as social_plan
 from adledger.session import apply_defaults, scratch_path, stage_table
-from adledger.sources import locations, sinks, versions
+from adledger.sources import kept, locations, sinks, versions
 from adledger.sources.reports import for_network
 from adledger.sources.testdata import Reports, seeded_reports
 
@@ -122,11 +122,32 @@ def clicktype_impressions(spark, sf_dir):
     return head.unionByName(phone)
 
 
+SNAPSHOT = ("site", "adgroup", "day", TS, "campaignid", "adgroupid", "adid", "clicktype", "clicks",
+            "impressions", "cost")
+
+
 def latest_snapshot_adgroup_day(spark, sf_dir):
     r = _reports(spark, sf_dir)
     latest = latest_snapshot(_google(r.google_ads), search.SNAP_KEYS, TS)
-    return latest.select("site", "adgroup", "day", TS, "campaignid", "adgroupid", "adid",
-                         "clicktype", "clicks", "impressions", "cost")
+    return latest.select(*SNAPSHOT)
+
+
+def snapshot_kept(spark, sf_dir):
+    """O-SNAP merged load by load: three loads that hold old and new rows of the same keys, the second merged twice."""
+    path = scratch_path(spark, "snapshot-kept")
+    ads = stage_table(_google(_reports(spark, sf_dir).google_ads).select(*SNAPSHOT).withColumn(
+        "part", F.crc32(F.concat_ws(":", F.col(TS).cast("string"), "adid")) % 3), "snapshot-kept")
+    for n in (2, 0, 0, 1):
+        kept.merge_load(ads.where(F.col("part") == n).drop("part"), path, search.SNAP_KEYS, TS, f"load-{n}",
+                        sites_with(CONFIG, "google"))
+    return kept.read_kept(spark, path)
+
+
+def snapshot_since(spark, sf_dir):
+    """O-SNAP read again from a day on, over the rows that were kept of the days before it."""
+    ads = _google(_reports(spark, sf_dir).google_ads).select(*SNAPSHOT)
+    before = stage_table(latest_snapshot(ads.where(F.col("day") < "1997-01-01"), search.SNAP_KEYS, TS), "snapshot-since")
+    return kept.restate_since(before, ads, search.SNAP_KEYS, TS, "day", "1996-01-01").select(*SNAPSHOT)
 
 
 def ad_clicks_cost(spark, sf_dir):
@@ -216,22 +237,20 @@ def campaign_dimension_join(spark, sf_dir):
 
 
 # ---------------------------------------------------------- adapter B / B-camp
+def _whole_rows(rows: DataFrame, additive: tuple[str, ...] = ("impressions", "clicks", "cost_micros")) -> DataFrame:
+    """Rows at the grain of all their other columns: the library sums partner rows early, the SQL has them raw."""
+    keys = [c for c in rows.columns if c not in additive]
+    return rows.withColumn("date", F.col("date").cast("date")).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in additive])
+
+
 def normalize_bing_ads(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    rows = ppc.bing_creative_rows(r.bing_ads, r.bing_campaigns, CONFIG)
-    keys = ["site", "account", "account_id", "platform", "campaign_id", "adgroup_id",
-            "creative_id", "adgroup", "campaign", "date", "budget"]
-    return (rows.withColumn("date", F.col("date").cast("date")).groupBy(*keys)
-                .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")]))
+    return _whole_rows(ppc.bing_creative_rows(r.bing_ads, r.bing_campaigns, CONFIG).drop(search.ITEM))
 
 
 def normalize_bing_keywords(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    rows = ppc.bing_keyword_rows(r.bing_keywords, r.bing_campaigns, CONFIG, AS_OF)
-    keys = ["site", "account", "account_id", "platform", "campaign_id", "adgroup_id",
-            "keyword_id", "adgroup", "campaign", "keyword", "match_type", "date", "budget"]
-    return (rows.withColumn("date", F.col("date").cast("date")).groupBy(*keys)
-                .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")]))
+    return _whole_rows(ppc.bing_keyword_rows(r.bing_keywords, r.bing_campaigns, CONFIG, AS_OF).drop(search.ITEM))
 
 
 def rolling_31_days(spark, sf_dir):
@@ -272,14 +291,9 @@ def match_type_attach(spark, sf_dir):
 # ------------------------------------------------------------------- A + B
 def union_networks(spark, sf_dir):
     r = _reports(spark, sf_dir)
-    g = ppc.google_keyword_rows(_kw_stage(r), r.google_campaigns, CONFIG)
-    b = ppc.bing_keyword_rows(r.bing_keywords, r.bing_campaigns, CONFIG, AS_OF)
-    cols = ["site", "platform", "date", "impressions", "clicks", "cost_micros"]
-    u = g.select(*cols).unionByName(b.select(*cols))
-    return (u.withColumn("date", F.col("date").cast("date"))
-             .groupBy("site", "platform", "date")
-             .agg(F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
-                  micros_to_units(F.sum("cost_micros")).alias("cost")))
+    g = ppc.google_keyword_rows(_kw_stage(r), r.google_campaigns, CONFIG).drop(search.ITEM)
+    b = ppc.bing_keyword_rows(r.bing_keywords, r.bing_campaigns, CONFIG, AS_OF).drop(search.ITEM)
+    return _whole_rows(g.unionByName(b))
 
 
 def ppc_creatives_daily(spark, sf_dir):
@@ -440,6 +454,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "display_only": display_only,
     "clicktype_impressions": clicktype_impressions,
     "latest_snapshot_adgroup_day": latest_snapshot_adgroup_day,
+    "snapshot_kept": snapshot_kept,
+    "snapshot_since": snapshot_since,
     "ad_clicks_cost": ad_clicks_cost,
     "keyword_clicks_cost_cpc": keyword_clicks_cost_cpc,
     "impressions_attach": impressions_attach,

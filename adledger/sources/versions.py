@@ -77,6 +77,11 @@ def _day(schema: T.StructType) -> str | None:
     return "date" if isinstance(kinds["date"], T.DateType) else "day"
 
 
+def _kinds(schema: T.StructType) -> list[tuple[str, str]]:
+    """Names and types; whether a column may be null is no difference, as read rows always may."""
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
 def publish_version(df: DataFrame, path: str, sites: list[str] | None = None, by_site: bool = True,
                     by_day: bool = True, unique_by: list[str] | None = None) -> Version:
     """Replace the rows of the sites in ``df``, and of ``sites`` (those without rows are emptied), in one step.
@@ -87,7 +92,7 @@ def publish_version(df: DataFrame, path: str, sites: list[str] | None = None, by
     """
     spark, schema = df.sparkSession, df.schema
     before = current(spark, path)
-    if before is not None and before.folders and by_site and before.schema != schema:
+    if before is not None and before.folders and by_site and _kinds(before.schema) != _kinds(schema):
         kept = set(before.folders) - set(sites or [])
         if kept:
             raise ValueError(f"columns differ from those of the sites that stay ({sorted(kept)})")

@@ -412,6 +412,15 @@ def _ctes(config: list[SiteConfig], as_of: str) -> list[tuple[str, str]]:
     ]
 
 
+def _whole_rows(rows: str) -> str:
+    return f"""
+            SELECT * EXCLUDE (date, impressions, clicks, cost_micros), CAST(date AS DATE) AS date,
+                   CAST(sum(impressions) AS BIGINT) AS impressions,
+                   CAST(sum(clicks) AS BIGINT) AS clicks,
+                   CAST(sum(cost_micros) AS BIGINT) AS cost_micros
+            FROM ({rows}) GROUP BY ALL"""
+
+
 def _google_creative_rows(src: str) -> str:
     return f"""
             SELECT site, account, customerid AS account_id, platform, campaignid AS campaign_id,
@@ -572,9 +581,9 @@ def oracle_queries(config: list[SiteConfig] = TEST_SITES, as_of: str = AS_OF) ->
             UNION ALL
             SELECT site, 'Phone calls' AS click_type, customerid, campaignid, adgroupid, adid, day,
                    ts AS _sdc_report_datetime, impressions FROM ga_phone""",
-        "latest_snapshot_adgroup_day": """
+        **dict.fromkeys(("latest_snapshot_adgroup_day", "snapshot_kept", "snapshot_since"), """
             SELECT site, adgroup, day, ts AS _sdc_report_datetime, campaignid, adgroupid, adid,
-                   clicktype, clicks, impressions, cost FROM ga_latest""",
+                   clicktype, clicks, impressions, cost FROM ga_latest"""),
         "ad_clicks_cost": "SELECT * RENAME (ts AS _sdc_report_datetime) FROM ga_ad",
         "keyword_clicks_cost_cpc": "SELECT * RENAME (ts AS _sdc_report_datetime) FROM gk_kw",
         "impressions_attach": "SELECT * FROM ga_final",
@@ -607,22 +616,8 @@ def oracle_queries(config: list[SiteConfig] = TEST_SITES, as_of: str = AS_OF) ->
                    max(maxcpc) AS maxcpc_micros
             FROM gk_dim GROUP BY site, campaignid, campaign, keywordid, day""",
         # --- adapter B: search partner ---
-        "normalize_bing_ads": f"""
-            SELECT site, account, account_id, platform, campaign_id, adgroup_id, creative_id,
-                   adgroup, campaign, CAST(date AS DATE) AS date, budget,
-                   CAST(sum(impressions) AS BIGINT) AS impressions,
-                   CAST(sum(clicks) AS BIGINT) AS clicks,
-                   CAST(sum(cost_micros) AS BIGINT) AS cost_micros
-            FROM ba_rows GROUP BY site, account, account_id, platform, campaign_id, adgroup_id,
-                 creative_id, adgroup, campaign, CAST(date AS DATE), budget""",
-        "normalize_bing_keywords": """
-            SELECT site, account, account_id, platform, campaign_id, adgroup_id, keyword_id,
-                   adgroup, campaign, keyword, match_type, CAST(date AS DATE) AS date, budget,
-                   CAST(sum(impressions) AS BIGINT) AS impressions,
-                   CAST(sum(clicks) AS BIGINT) AS clicks,
-                   CAST(sum(cost_micros) AS BIGINT) AS cost_micros
-            FROM bk_rows GROUP BY site, account, account_id, platform, campaign_id, adgroup_id,
-                 keyword_id, adgroup, campaign, keyword, match_type, CAST(date AS DATE), budget""",
+        "normalize_bing_ads": _whole_rows("SELECT * FROM ba_rows"),
+        "normalize_bing_keywords": _whole_rows("SELECT * FROM bk_rows"),
         "rolling_31_days": """
             SELECT site, campaignid, adgroupid, keywordid, timeperiod, _sdc_report_datetime,
                    bidmatchtype FROM bk_window""",
@@ -643,14 +638,8 @@ def oracle_queries(config: list[SiteConfig] = TEST_SITES, as_of: str = AS_OF) ->
                    CAST(sum(CAST(round(spend * 1e6) AS BIGINT)) AS BIGINT) AS cost_micros
             FROM bk_final GROUP BY site, keywordid, timeperiod, match_type""",
         # --- A + B ---
-        "union_networks": f"""
-            SELECT site, platform, CAST(date AS DATE) AS date,
-                   CAST(sum(impressions) AS BIGINT) AS impressions,
-                   CAST(sum(clicks) AS BIGINT) AS clicks, {_money('sum(cost_micros)')} AS cost
-            FROM (SELECT site, platform, date, impressions, clicks, cost_micros FROM gk_rows
-                  UNION ALL
-                  SELECT site, platform, date, impressions, clicks, cost_micros FROM bk_rows)
-            GROUP BY site, platform, CAST(date AS DATE)""",
+        "union_networks": _whole_rows(
+            "SELECT * FROM (SELECT * FROM gk_rows UNION ALL BY NAME SELECT * FROM bk_rows)"),
         "ppc_creatives_daily": "SELECT * FROM creatives_daily",
         "ppc_keywords_daily": "SELECT * FROM keywords_daily",
         "display_creatives_daily": "SELECT * FROM display_creatives_daily",
