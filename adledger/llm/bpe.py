@@ -40,12 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adledger.llm.common import slices, with_row
+from adledger.llm.common import as_row, slices, with_row
 
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
-BATCH_BYTES, CACHE = 2 << 20, 100_000
+BATCH_BYTES, CACHE = 1 << 20, 100_000
+# Bytes of pieces that one query contracts.
+QUERIED = 1 << 17
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
 # in the same order, but from a heap.  Decoded in one query: so many tokens.
 LONG_PIECE, DECODED = 256, 1 << 18
@@ -145,7 +147,7 @@ class Codec:
                 continue
             part.append(p)
             held += len(b)
-            if held > 1 << 19:
+            if held > QUERIED:
                 self._merge(part, [raw[x] for x in part])
                 part, held = [], 0
         if part:
@@ -256,12 +258,12 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(shared) as codec:
-            for b in slices(batches, "text", BATCH_BYTES):
-                ids, offsets = codec.encode(b.column("text").to_pylist())
+            for b in slices(batches, at, BATCH_BYTES):
+                ids, offsets = codec.encode(b.column("row").field(at).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column("row"), lists], ["row", "ids"])
 
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    src, at = as_row(docs, "text")
     return src.mapInArrow(run, with_row(src.schema, ("ids", T.ArrayType(T.IntegerType()))))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,13 @@ def with_row(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructT
     return T.StructType([schema["row"], *[T.StructField(n, t) for n, t in fields]])
 
 
+def as_row(docs: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """Just ``row``, the whole input row, and the place of ``column`` in it: a long text goes to Python once."""
+    names = docs.columns if column in docs.columns else [c.lower() for c in docs.columns]
+    place = names.index(column)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), place
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does just that on a text without other letters."""
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
@@ -46,14 +53,15 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that ``column`` holds about ``max_bytes`` in each.
+def slices(batches: Iterator[pa.RecordBatch], column: str | int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that ``column`` (a number: that field of ``row``) holds about ``max_bytes`` in each.
 
     A single longer text stays whole, in a batch of its own.
     """
     for batch in batches:
         start, held = 0, 0
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        held_in = batch.column(column) if isinstance(column, str) else batch.column("row").field(column)
+        sizes = pc.binary_length(held_in).fill_null(0).to_pylist()
         for i, n in enumerate(sizes):
             if held and held + n > max_bytes:
                 yield batch.slice(start, i - start)

@@ -33,6 +33,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from adledger.llm.common import slices, with_row
+from adledger.llm.common import as_row, slices, with_row
 
 # Hashed features, longest n-gram, and the languages that a table may hold.
 FEATURES, LONGEST, LANGUAGES = 1 << 16, 4, 500
@@ -56,8 +57,11 @@ SCALE = 8.0
 UNKNOWN = "und"
 # Ranks that the hash of a labelled text has.
 RANKS = 1 << 30
-BATCH_BYTES = 4 << 20
+# Text of a batch, and numbers that a stretch of its distinct words makes at once.
+BATCH_BYTES, HELD = 2 << 20, 1 << 20
 _find_words = re.compile(r"[^\W\d_]+").findall
+# Distinct words whose n-grams are hashed at once.
+_WORDS = 1 << 13
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,7 +94,10 @@ class Batch:
         self.sizes = np.array([len(w) for w in words], np.int64)
         coded = pa.array([x for w in words for x in w], pa.string()).dictionary_encode()
         self.codes = coded.indices.to_numpy().astype(np.int64)
-        self.feats, self.offsets = word_features(coded.dictionary.to_pylist())
+        number = coded.dictionary.to_pylist()
+        parts = [word_features(number[i:i + _WORDS]) for i in range(0, len(number), _WORDS)]
+        self.feats = np.concatenate([np.empty(0, np.int32), *[f for f, _ in parts]])
+        self.offsets = np.concatenate([[0], np.cumsum(np.concatenate([[0], *[np.diff(o) for _, o in parts]]))[1:]])
         self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
 
     def summed(self, per_word: np.ndarray) -> np.ndarray:
@@ -132,8 +139,13 @@ class Model:
         total = b.summed(size[:, None].astype(np.float64))[:, 0]
         if not self.langs:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        rows = np.concatenate([self.weights[:, b.feats].T, np.zeros((1, len(self.langs)))])
-        per_word = np.add.reduceat(rows, b.offsets[:-1], axis=0) if len(size) else rows[:0]
+        per_word = np.zeros((len(size), len(self.langs)))
+        # Whole words, a bounded number of features at once.
+        cuts = np.searchsorted(b.offsets, np.arange(0, len(b.feats), max(1, HELD // len(self.langs))))
+        for i, j in pairwise([*np.unique(cuts).tolist(), len(size)]):
+            rows = np.concatenate([self.weights[:, b.feats[b.offsets[i]:b.offsets[j]]].T,
+                                   np.zeros((1, len(self.langs)))])
+            per_word[i:j] = np.add.reduceat(rows, b.offsets[i:j] - b.offsets[i], axis=0)
         per_word[size == 0] = 0
         logits = b.summed(per_word) / np.maximum(total, 1)[:, None] + self.bias
         p = _softmax(logits / self.temperature)
@@ -281,12 +293,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", BATCH_BYTES):
-            langs, scores = shared.value.predict(b.column("text").to_pylist())
+        for b in slices(batches, at, BATCH_BYTES):
+            langs, scores = shared.value.predict(b.column("row").field(at).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(langs, pa.string()),
                                               pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    src, at = as_row(docs, "text")
     return src.mapInArrow(run, with_row(src.schema, ("lang_pred", T.StringType()), ("score", T.DoubleType())))
 
 
