@@ -74,8 +74,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once as Parquet (``options``: the writer's) under the shared checkpoint folder and read it back.
 
     Used for the one reduced intermediate that several consumers read: they
     all scan the written table (columnar, pruned), the expensive lineage above
@@ -83,7 +83,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     than a recomputation from the raw reports.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _STAGED[id(out)] = (out, path)
     return out
