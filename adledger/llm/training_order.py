@@ -18,7 +18,7 @@ shard ``s // per_shard``: a reader that stopped at any slot goes on from there
 uniform, so ranges are equal however the texts are distributed), sorts it by
 slot and pads it into shards; a file holds neighbouring shards, in order, and a
 read from a slot on skips the files before it by their statistics.  A shard is
-of bounded size.
+of bounded size; its Parquet file is compressed by zstd.
 
 Defined cases: a null text is an empty one, which is a sequence of an end token
 alone; repeated rows give sequences of their own; an empty table gives no
@@ -210,7 +210,7 @@ def shards(cut: DataFrame, key: int = KEY, per_shard: int = PER_SHARD) -> DataFr
 def write(docs: DataFrame, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """The shards of ``docs``, written to the shared folder and read back; the cut sequences are dropped then."""
     cut = sequences(docs, length)
-    written = stage_table(shards(cut, key, per_shard), "shards")
+    written = stage_table(shards(cut, key, per_shard), "shards", compression="zstd")
     drop_staged(cut)
     return written
 
