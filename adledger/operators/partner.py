@@ -54,14 +54,14 @@ def _scaled(df: DataFrame, factor) -> list:
     return [(F.col(c) * factor).alias(c) for c in ("impressions", "clicks", "cost_micros")]
 
 
-def latest_day_rows(report: DataFrame, keys: list[str]) -> DataFrame:
-    """O-SNAP per (site, day), then the wide aggregate of the rows picked."""
-    return _fine(latest_snapshot(report, SNAP_KEYS, TS), keys)
+def latest_day_rows(report: DataFrame, keys: list[str], times: DataFrame | None = None) -> DataFrame:
+    """O-SNAP per (site, day), then the wide aggregate of the rows picked.  ``times``: the maxima, if staged."""
+    return _fine(latest_snapshot(report, SNAP_KEYS, TS, times), keys)
 
 
-def ads_with_budget(ads: DataFrame, campaigns: DataFrame) -> DataFrame:
+def ads_with_budget(ads: DataFrame, campaigns: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Latest ad rows per day joined (inner) to the campaign's daily budget."""
-    latest = latest_day_rows(ads, AD_KEYS)
+    latest = latest_day_rows(ads, AD_KEYS, times)
     j = latest.join(daily_budgets(campaigns), ["site", "campaignid"], "inner")
     others = [c for c in AD_KEYS if c != TS]
     return j.select(*others, *_scaled(j, F.col("__n")), "budget")
@@ -91,11 +91,11 @@ def keyword_history(keywords: DataFrame, as_of: dt.date | str | None) -> DataFra
                 .agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")]))
 
 
-def history_with_budget(history: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """``keywords_with_budget`` from the staged history."""
+def history_with_budget(history: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``keywords_with_budget`` from the staged history and ``daily_budgets``."""
     picked = latest_snapshot(history.where("inside"), SNAP_KEYS, TS)
     latest = picked.groupBy(*KW_KEYS).agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost_micros")])
-    return _with_budget(latest, campaigns)
+    return _with_budget(latest, budgets)
 
 
 def latest_match_types(keywords: DataFrame) -> DataFrame:
@@ -106,11 +106,11 @@ def latest_match_types(keywords: DataFrame) -> DataFrame:
 
 def keywords_with_budget(keywords: DataFrame, campaigns: DataFrame,
                          as_of: dt.date | str | None) -> DataFrame:
-    return _with_budget(latest_day_rows(in_window(keywords, as_of), KW_KEYS), campaigns)
+    return _with_budget(latest_day_rows(in_window(keywords, as_of), KW_KEYS), daily_budgets(campaigns))
 
 
-def _with_budget(latest: DataFrame, campaigns: DataFrame) -> DataFrame:
-    j = latest.join(daily_budgets(campaigns), ["site", "campaignid"], "inner")
+def _with_budget(latest: DataFrame, budgets: DataFrame) -> DataFrame:
+    j = latest.join(budgets, ["site", "campaignid"], "inner")
     others = [c for c in KW_KEYS if c != TS]
     return j.select(*others, *_scaled(j, F.col("__n")), "budget")
 

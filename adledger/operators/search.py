@@ -103,13 +103,14 @@ def keyword_fine(report: DataFrame) -> DataFrame:
                        *_clicktype_sums()))
 
 
-def latest_rows(fine: DataFrame, keys: list[str] = SNAP_KEYS) -> DataFrame:
+def latest_rows(fine: DataFrame, keys: list[str] = SNAP_KEYS, times: DataFrame | None = None) -> DataFrame:
     """O-SNAP on (site, ad group *name*, day).
 
     Applied to raw rows before the fine aggregate.  Both orders give the same
-    rows, as the key and the load time are among the fine keys.
+    rows, as the key and the load time are among the fine keys.  ``times``: the
+    maxima, if staged (``snapshot.staged_times``).
     """
-    return latest_snapshot(fine, keys, TS)
+    return latest_snapshot(fine, keys, TS, times)
 
 
 def _description() -> Column:

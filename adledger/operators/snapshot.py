@@ -11,6 +11,10 @@ that AQE either turns into a broadcast (when the runtime size of the per-key
 maxima is under the broadcast threshold) or splits by skew.  A window
 ``max().over(partitionBy(keys))`` would hold a whole hot key in one task, so
 it is only kept as a cross-check (``latest_snapshot_window``).
+
+Left lazy, the maxima's size is known only when the wide side of the join has
+already been exchanged, all of its history included.  The PPC datasets stage
+the maxima first (``staged_times``): the join is planned with their measured size.
 """
 
 from __future__ import annotations
@@ -34,6 +38,16 @@ def latest_times(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
               .agg(F.max(ts).alias(ts)))
 
 
+def staged_times(df: DataFrame, keys: list[str], ts: str, name: str) -> DataFrame:
+    """``latest_times`` written once as a staging table (``name``-times).
+
+    Where the maxima are small, ``latest_snapshot`` then broadcasts them and the
+    rows of older loads are dropped in the scan, before any exchange of wide
+    rows; else it is the exchange on the key, as before.
+    """
+    return stage_table(latest_times(df, keys, ts), f"{name}-times")
+
+
 def latest_snapshot(df: DataFrame, keys: list[str], ts: str,
                     times: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` at the latest ``ts`` of their key (ties kept, null keys dropped).

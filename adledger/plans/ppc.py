@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adledger.config import SiteConfig
 from adledger.operators import partner, rollup, search
+from adledger.operators.snapshot import staged_times
 from adledger.session import drop_staged, stage_table, together
 from adledger.sources.reports import for_network
 
@@ -48,8 +49,17 @@ class SearchStage:
             drop_staged(df)
 
 
-def _stage(fine: DataFrame, item_id: str, budget: Callable[[], DataFrame]) -> SearchStage:
-    latest, budgets = together(lambda: stage_table(fine, f"search-{item_id}-latest"), budget)
+def _stage(report: DataFrame, keys: list[str], fine: Callable[[DataFrame], DataFrame], item_id: str,
+           budget: Callable[[], DataFrame]) -> SearchStage:
+    """The maxima staged, then the picked rows, ``fine`` of them (and at the same time the budgets)."""
+    def picked() -> DataFrame:
+        times = staged_times(report, keys, search.TS, f"search-{item_id}")
+        try:
+            return stage_table(fine(search.latest_rows(report, keys, times)), f"search-{item_id}-latest")
+        finally:
+            drop_staged(times)
+
+    latest, budgets = together(picked, budget)
     return SearchStage(latest, search.clicktype_totals(latest, item_id), budgets, item_id)
 
 
@@ -64,7 +74,7 @@ def search_ads_stage(google_ads: DataFrame, campaign_report: DataFrame,
                      budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P1/P2.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     ads = for_network(google_ads, config, "google")
-    return _stage(search.ad_fine(search.latest_rows(ads, snapshot_keys), config), "adid",
+    return _stage(ads, snapshot_keys, lambda rows: search.ad_fine(rows, config), "adid",
                   lambda: budget if budget is not None else search_budget(campaign_report, config))
 
 
@@ -77,19 +87,27 @@ def google_creative_rows(stage: SearchStage, display: bool = False,
     return search.normalize_ads(final)
 
 
+def partner_times(bing_ads: DataFrame, config: list[SiteConfig]) -> DataFrame:
+    """The latest load of each site and day of the partner ad report, staged."""
+    return staged_times(for_network(bing_ads, config, "bing"), partner.SNAP_KEYS, partner.TS, "partner-ads")
+
+
 def bing_creative_rows(bing_ads: DataFrame, bing_campaigns: DataFrame,
-                       config: list[SiteConfig]) -> DataFrame:
+                       config: list[SiteConfig], times: DataFrame | None = None) -> DataFrame:
+    times = times if times is not None else partner_times(bing_ads, config)
     ads = for_network(bing_ads, config, "bing")
-    return partner.normalize_ads(partner.ads_with_budget(ads, for_network(bing_campaigns, config, "bing")))
+    return partner.normalize_ads(partner.ads_with_budget(ads, for_network(bing_campaigns, config, "bing"), times))
 
 
 def ppc_creatives(google_ads: DataFrame, campaign_report: DataFrame, bing_ads: DataFrame,
                   bing_campaigns: DataFrame, config: list[SiteConfig],
                   stage: SearchStage | None = None) -> DataFrame:
     """Non-display creatives per site and day, search + search partner (O-UNION-NET)."""
-    stage = stage or search_ads_stage(google_ads, campaign_report, config)
+    given = stage
+    stage, times = together(lambda: given or search_ads_stage(google_ads, campaign_report, config),
+                            lambda: partner_times(bing_ads, config))
     rows = google_creative_rows(stage).drop(search.ITEM).unionByName(
-        bing_creative_rows(bing_ads, bing_campaigns, config))
+        bing_creative_rows(bing_ads, bing_campaigns, config, times))
     return rollup.daily_creatives(rows)
 
 
@@ -113,7 +131,7 @@ def search_keywords_stage(google_keywords: DataFrame, campaign_report: DataFrame
                           budget: DataFrame | None = None) -> SearchStage:
     """Shared stage of P3/P4.  ``snapshot_keys=search.SNAP_KEYS_BY_ID`` is the T1 correction."""
     kws = for_network(google_keywords, config, "google")
-    return _stage(search.keyword_fine(search.latest_rows(kws, snapshot_keys)), "keywordid",
+    return _stage(kws, snapshot_keys, search.keyword_fine, "keywordid",
                   lambda: budget if budget is not None else search_budget(campaign_report, config))
 
 
@@ -136,7 +154,8 @@ def bing_keyword_rows(bing_keywords: DataFrame, bing_campaigns: DataFrame,
                       config: list[SiteConfig], as_of: dt.date | str | None,
                       match_keys: tuple[str, ...] = ("keywordid",), history: DataFrame | None = None) -> DataFrame:
     history = history if history is not None else partner_history(bing_keywords, config, as_of)
-    rows = partner.history_with_budget(history, for_network(bing_campaigns, config, "bing"))
+    budgets = stage_table(partner.daily_budgets(for_network(bing_campaigns, config, "bing")), "partner-budgets")
+    rows = partner.history_with_budget(history, budgets)
     return partner.normalize_keywords(
         partner.attach_match_type(rows, partner.latest_match_types(history), match_keys))
 

@@ -47,7 +47,7 @@ def merge_load(load: DataFrame, path: str, keys: list[str], ts: str, load_id: st
     spark = load.sparkSession
     known = F.col("site").isNotNull() if sites is None else F.col("site").isin(sites)
     new = load.where(known).withColumn(LOAD, F.lit(load_id))
-    touched = sorted(r["site"] for r in new.select("site").distinct().collect())
+    touched = sorted(new.agg(F.collect_set("site")).first()[0])
     if not touched:
         return None
     before = current(spark, path)

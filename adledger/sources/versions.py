@@ -54,7 +54,8 @@ class Version:
 def history(spark: SparkSession, path: str) -> list[Version]:
     """All commits of a dataset, oldest first."""
     try:
-        rows = spark.read.schema(COMMIT).parquet(f"{path}/_commits").collect()
+        commits = spark.read.schema(COMMIT).parquet(f"{path}/_commits")
+        rows = commits.agg(F.collect_list(F.struct(*commits.columns))).first()[0]
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -106,8 +107,10 @@ def publish_version(df: DataFrame, path: str, sites: list[str] | None = None, by
     (writer.partitionBy(*dirs) if dirs else writer).parquet(f"{path}/{folder}")
     written = spark.read.schema(rows.schema).parquet(f"{path}/{folder}")
     if by_site:
-        found = {r.site for r in written.select("site").distinct().collect()}  # folder names; no column is read
-        if None in found:
+        # Folder names; no column is read.
+        seen = written.agg(F.collect_set("site").alias("found"), F.bool_or(F.col("site").isNull()).alias("other")).first()
+        found = set(seen.found)
+        if seen.other:
             raise ValueError("there are rows without a site")
         folders = {s: f for s, f in (before.folders if before else {}).items() if s not in found | set(sites or [])}
         folders |= {s: folder for s in found}

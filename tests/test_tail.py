@@ -75,3 +75,21 @@ def test_match_types_come_from_one_pass_over_the_report(spark):
     rows = ppc.bing_keyword_rows(r.bing_keywords, r.bing_campaigns, TEST_SITES, "2001-08-01", history=history)
     files = {f.rsplit("/", 1)[-1] for f in rows.inputFiles()}
     assert not any(f.startswith(("orders", "events")) for f in files)
+
+
+def test_only_picked_rows_are_exchanged_whole(spark):
+    from adledger.operators import partner
+    from adledger.operators.snapshot import staged_times
+    r = seeded_reports(spark, SF)
+    ads = r.google_ads
+    times = staged_times(ads, search.SNAP_KEYS, search.TS, "test")
+    got = search.ad_fine(search.latest_rows(ads, search.SNAP_KEYS, times), TEST_SITES)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pick = [x for x in plan.split("\n") if "HashJoin" in x and "_sdc_report_datetime" in x or "MergeJoin" in x and "adgroup" in x]
+    assert len(pick) == 1 and "BroadcastHashJoin [site" in pick[0]
+    assert bag(got) == bag(search.ad_fine(search.latest_rows(ads), TEST_SITES))
+    bing = ppc.bing_creative_rows(r.bing_ads, r.bing_campaigns, TEST_SITES)
+    assert any("BroadcastHashJoin [site" in x and "timeperiod" in x
+               for x in bing._jdf.queryExecution().executedPlan().toString().split("\n"))
+    want = partner.normalize_ads(partner.ads_with_budget(r.bing_ads.where("site != 'MIDDLE EAST'"), r.bing_campaigns))
+    assert bag(bing) == bag(want.where("site != 'MIDDLE EAST'")) and want.count() > 10
