@@ -12,7 +12,7 @@ A task keeps the encodings of pieces it has seen, up to ``CACHE`` of them,
 then starts afresh: memory is bounded, and results don't depend on it.  Most
 texts are words between single spaces.  No match of the pattern crosses from a
 non-space to a following single space, so texts are cut at such places first,
-and the pattern runs once on each distinct stretch of a batch.
+and the pattern runs once over the distinct stretches of a batch.
 
 Nothing is shuffled.  The rank file is read by the driver and broadcast; it is
 as large as the vocabulary, whatever the data.
@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -45,7 +46,7 @@ from adledger.llm.common import as_row, slices, with_row
 # The tokenizer of the registered query; the path comes from the installed package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
-BATCH_BYTES, CACHE = 1 << 20, 100_000
+BATCH_BYTES, CACHE = 1 << 20, 300_000
 # Bytes of pieces that one query contracts.
 QUERIED = 1 << 17
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
@@ -87,17 +88,22 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+def merge_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """Every two tokens that make a token together (both ids in one number), and its id."""
+    pairs = [(a << 32 | b, r) for t, r in ranks.items() for i in range(1, len(t))
+             if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+    return np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+
+
 class Codec:
     """One worker's DuckDB connection, vocabulary and remembered encodings."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pairs: np.ndarray | None = None) -> None:
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.bytes_of = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        pairs = [(a << 32 | b, r) for t, r in ranks.items() for i in range(1, len(t))
-                 if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+        pairs = merge_pairs(ranks) if pairs is None else pairs
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        self._table("merges", {"pair": np.array([p for p, _ in pairs], np.int64),
-                               "id": np.array([r for _, r in pairs], np.int64)})
+        self._table("merges", {"pair": pairs[0], "id": pairs[1]})
         self._table("vocabulary", {"id": np.array(list(ranks.values()), np.int32),
                                    "hex": pa.array([t.hex() for t in ranks])})
         self.forget()
@@ -121,16 +127,36 @@ class Codec:
             self.forget()
         parts = [stretches(t) if t else [] for t in texts]
         sizes = [len(p) for p in parts]
-        coded = pa.array([s for p in parts for s in p], pa.string()).dictionary_encode()
-        idx, number = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        del parts, coded
-        # A stretch stands for itself behind a space; the first of a text is marked by one instead.
-        cut = [self.find(s[1:] if s[0] == " " else " " + s) for s in number]
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        idx = np.fromiter((number[s] for p in parts for s in p), np.int64, sum(sizes))
+        del parts
+        place, cut, counts = self._cut(list(number))
         at = self.pieces.at
-        self._encode_pieces({p for c in cut for p in c if p not in at})
+        self._encode_pieces({p for p in cut if p not in at})
         own = Ragged()
-        own.values, own.offsets = self.pieces.take([at[p] for c in cut for p in c], [len(c) for c in cut])
-        return own.take(idx, sizes)
+        own.values, own.offsets = self.pieces.take([at[p] for p in cut], counts)
+        return own.take(place[idx], sizes)
+
+    def _cut(self, number: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Where each stretch lies among all, their pieces in that order, and how many each has.
+
+        A stretch stands for itself behind a space; the first of a text is marked by
+        one instead.  Those without a space, or white space at the end, are joined
+        again by single spaces, which no piece crosses, and cut by one call: a piece
+        that starts with a space is the first of a stretch.
+        """
+        plain = np.fromiter((" " not in s and not s[-1].isspace() for s in number), bool, len(number))
+        joined = [s for s, p in zip(number, plain.tolist(), strict=True) if p]
+        cut = self.find(" " + " ".join(joined)) if joined else []
+        first = np.flatnonzero(np.fromiter((p[0] == " " for p in cut), bool, len(cut)))
+        if len(first) != len(joined):   # a pattern of other cuts: each on its own
+            plain[:], cut, first = False, [], first[:0]
+        others = [self.find(s[1:] if s[0] == " " else " " + s) for s, p in zip(number, plain.tolist(), strict=True) if not p]
+        place = np.empty(len(number), np.int64)
+        place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(number))
+        counts = np.concatenate([np.diff(np.append(first, len(cut))), np.array([len(c) for c in others], np.int64)])
+        return place, cut + [p for c in others for p in c], counts
 
     def _encode_pieces(self, new: set[str]) -> None:
         """Recursive query over the pieces that aren't tokens; in parts, so that it stays in memory."""
@@ -247,9 +273,10 @@ def _codec(shared) -> Iterator[Codec]:
 
 
 def share_vocabulary(spark: SparkSession, path: str | None, pattern: str | None):
-    """(ranks, pattern) as a broadcast; by default the installed vocabulary."""
+    """(ranks, pattern, merge pairs) as a broadcast; by default the installed vocabulary."""
     own, own_pattern = default_vocabulary() if path is None or pattern is None else (path, pattern)
-    return spark.sparkContext.broadcast((read_ranks(path or own), pattern or own_pattern))
+    ranks = read_ranks(path or own)
+    return spark.sparkContext.broadcast((ranks, pattern or own_pattern, merge_pairs(ranks)))
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

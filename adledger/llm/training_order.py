@@ -86,7 +86,7 @@ _encodings: dict = {}
 
 def _encoding(shared) -> tiktoken.Encoding:
     """The worker's encoder of a broadcast vocabulary, made once."""
-    ranks, pattern = shared.value
+    ranks, pattern, _ = shared.value
     key = (hash(frozenset(ranks.items())), pattern)
     if key not in _encodings:
         _encodings.clear()

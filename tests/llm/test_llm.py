@@ -437,6 +437,28 @@ def test_bpe_equals_the_library_and_round_trips(docs):
     assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:])] == [encoding.encode_ordinary(t) for t in texts]
 
 
+def test_bpe_cuts_the_stretches_of_a_batch_by_few_calls_and_remembers_their_pieces():
+    import tiktoken
+    path, pattern = bpe.default_vocabulary()
+    ranks = bpe.read_ranks(path)
+    encoding = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec, calls, merged = bpe.Codec(ranks, pattern), [], []
+    find, merge = codec.find, codec._merge
+    codec.find = lambda s: calls.append(s) or find(s)
+    codec._merge = lambda pieces, raw: merged.extend(pieces) or merge(pieces, raw)
+    texts = [" ".join(f"qz{chr(97 + i % 26)}x{chr(97 + j % 26)}v, it's{i}\nZw{j}" for j in range(40)) for i in range(200)]
+    texts += ["end \n", "tab\t x", " led", "a  b c", "\u00a0x y\u00a0", "nul \u2003 z", "q\n r"]
+    for _ in range(2):
+        ids, ends = codec.encode(texts)
+        assert [ids[a:z].tolist() for a, z in zip(ends, ends[1:])] == [encoding.encode_ordinary(t) for t in texts]
+    assert len(calls) < 1200 and len(merged) == len(set(merged)) > 100
+    # More than 100,000 pieces stay known (0.10 GB of the check's texts bring several times as many to a task).
+    codec.pieces.extend([f"known{i}" for i in range(150_000)], np.zeros(150_000, np.int32), np.arange(150_001))
+    codec.encode(["one more"])
+    assert "known7" in codec.pieces.at
+    codec.close()
+
+
 def test_pipeline_stages_equal_the_operators(spark, tmp_path):
     import corpus_pipeline
     src = "/root/testdata/sf0.001"
