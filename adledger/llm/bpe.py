@@ -47,6 +47,8 @@ from adledger.llm.common import as_row, slices, with_row
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Text of a batch, and distinct pieces that a worker remembers.
 BATCH_BYTES, CACHE = 1 << 20, 300_000
+# The same in ``encode``, which the pipeline runs beside executors whose memory other stages have grown.
+CACHE_BESIDE = 100_000
 # Bytes of pieces that one query contracts.
 QUERIED = 1 << 17
 # A piece of more bytes (a word has a few) would make as many rounds for a few tokens each: it is contracted
@@ -99,6 +101,7 @@ class Codec:
     """One worker's DuckDB connection, vocabulary and remembered encodings."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, pairs: np.ndarray | None = None) -> None:
+        self.cache = CACHE
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.bytes_of = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = merge_pairs(ranks) if pairs is None else pairs
@@ -123,7 +126,7 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts in a row, and the offsets of each text."""
-        if len(self.pieces.at) > CACHE:
+        if len(self.pieces.at) > self.cache:
             self.forget()
         parts = [stretches(t) if t else [] for t in texts]
         sizes = [len(p) for p in parts]
@@ -285,6 +288,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(shared) as codec:
+            codec.cache = CACHE_BESIDE
             for b in slices(batches, at, BATCH_BYTES):
                 ids, offsets = codec.encode(b.column("row").field(at).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
